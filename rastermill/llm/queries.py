@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid
+from . import langid, quality
 from .shared import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
 }
 ORACLE_SQL: dict[str, str] = {}
