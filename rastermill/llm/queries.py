@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality
+from . import decontam, langid, quality
 from .shared import table
 
 
@@ -16,8 +16,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
+    "op8_decontamination": op8_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
