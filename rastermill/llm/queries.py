@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, quality
+from . import bagminhash, decontam, langid, quality
 from .shared import table
 
 
@@ -20,9 +20,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
     "op8_decontamination": op8_decontamination,
+    "op10_near_dedup": op10_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -35,3 +35,43 @@ def contamination(docs, items, width=10):
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((doc, len(w), len(hit), len(found), digest, bool(hit)))
     return out
+
+
+def near_classes(docs, least=0.8, width=5):
+    """Class id of every document by comparing all pairs that share a shingle."""
+    from collections import Counter, defaultdict
+
+    bags, texts = {}, {}
+    for doc, text in docs:
+        w = words(text)
+        bags[doc] = Counter(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) if w else Counter()
+        texts[doc] = text or ""
+    parent = {doc: doc for doc in bags}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def join(x, y):
+        x, y = find(x), find(y)
+        parent[max(x, y)] = min(x, y)
+
+    same, holders = {}, defaultdict(list)
+    for doc in sorted(bags):
+        if texts[doc] in same:
+            join(doc, same[texts[doc]])
+            continue
+        same[texts[doc]] = doc
+        for x in bags[doc]:
+            holders[x].append(doc)
+    seen = set()
+    for ids in holders.values():
+        for i, x in enumerate(ids):
+            for y in ids[i + 1 :]:
+                if (x, y) not in seen:
+                    seen.add((x, y))
+                    both = sum((bags[x] & bags[y]).values())
+                    if both / (sum(bags[x].values()) + sum(bags[y].values()) - both) >= least:
+                        join(x, y)
+    return {doc: find(doc) for doc in bags}
