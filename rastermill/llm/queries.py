@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, decontam, langid, quality
+from . import audio, bagminhash, decontam, langid, quality, token_store
 from .shared import table
 
 
@@ -24,10 +25,20 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio.features(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_near_dedup": op10_near_dedup,
+    "op6_token_store": op6_token_store,
+    "op9_audio": op9_audio,
 }
 ORACLE_SQL: dict[str, str] = {}
