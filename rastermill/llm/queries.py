@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, bagminhash, decontam, langid, quality, token_store
+from . import audio, bagminhash, decontam, langid, pieces, quality, token_store
 from .shared import table
 
 
@@ -29,6 +29,10 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.tokenised(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio.features(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op10_near_dedup": op10_near_dedup,
     "op6_token_store": op6_token_store,
+    "op7_sentencepiece": op7_sentencepiece,
     "op9_audio": op9_audio,
 }
 ORACLE_SQL: dict[str, str] = {}
