@@ -75,3 +75,36 @@ def near_classes(docs, least=0.8, width=5):
                     if both / (sum(bags[x].values()) + sum(bags[y].values()) - both) >= least:
                         join(x, y)
     return {doc: find(doc) for doc in bags}
+
+
+PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + k % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def pii_spans(text):
+    out = []
+    for kind, pattern in PII.items():
+        for m in re.finditer(pattern, text or ""):
+            value = m[0]
+            digits = re.sub("[^0-9]", "", value)
+            ok = {
+                "email": True,
+                "ip": all(int(p) <= 255 for p in value.split(".")) if kind == "ip" else False,
+                "card": 13 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
