@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, bagminhash, decontam, langid, pieces, pii, quality, token_store
+from . import audio, bagminhash, decontam, html_text, langid, pieces, pii, quality, token_store
 from .shared import table
 
 
@@ -25,6 +25,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op8_decontamination": op8_decontamination,
     "op10_near_dedup": op10_near_dedup,
+    "op3_html_text": op3_html_text,
     "op5_pii": op5_pii,
     "op6_token_store": op6_token_store,
     "op7_sentencepiece": op7_sentencepiece,
