@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, bagminhash, decontam, html_text, langid, pieces, pii, quality, token_store
+from . import audio, bagminhash, decontam, html_text, langid, pieces, pii, quality, token_store, url_rules
 from .shared import table
 
 
@@ -29,6 +29,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op10_near_dedup": op10_near_dedup,
     "op3_html_text": op3_html_text,
+    "op4_url_rules": op4_url_rules,
     "op5_pii": op5_pii,
     "op6_token_store": op6_token_store,
     "op7_sentencepiece": op7_sentencepiece,
