@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import sliced, stored, utf8
+from .shared import fresh, sliced, stored, utf8
 from .words import mix, shingles, word_hashes
 
 SHINGLE = 5
@@ -218,8 +218,9 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of docs of each class, that of the least doc_id, with its columns; rows without a doc_id stay."""
-    found = classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("_kept"))
-    kept = docs.where("doc_id IS NOT NULL").join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
+    name = fresh(docs, "kept")
+    found = classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias(name))
+    kept = docs.where("doc_id IS NOT NULL").join(found, docs["doc_id"] == found[name], "left_semi")
     if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import sliced, stored, utf8
+from .shared import fresh, sliced, stored, utf8
 from .words import word_hashes
 
 WIDTH = 10
@@ -283,5 +283,6 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     A doc_id that any of its rows makes contaminated goes as a whole.
     """
-    bad = matches(docs, items, least=0).where("n_hit > 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    name = fresh(docs, "bad")
+    bad = matches(docs, items, least=0).where("n_hit > 0").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[name]), "left_anti")

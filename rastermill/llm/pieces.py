@@ -153,7 +153,8 @@ def model(path: str) -> Model:
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """All columns of docs with `piece_ids`, the ids of every row's whole text."""
+    """All columns of docs with `piece_ids` (a column of docs of that name is replaced), the ids of every row's whole text."""
+    docs = docs.drop("piece_ids")
 
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
@@ -167,12 +168,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """All columns of encoded with `decoded`, the text of its piece_ids."""
+    """All columns of encoded with `decoded` (likewise replaced), the text of its piece_ids; null ids give null."""
+    encoded = encoded.drop("decoded")
 
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("piece_ids"))
-            texts = [None if not x.is_valid else model(path).decode(np.asarray(x.values)) for x in column]
+            texts = [model(path).decode(np.asarray(x.values)) if x.is_valid else None for x in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, encoded.selectExpr("*", "CAST(NULL AS STRING) AS decoded").schema)

@@ -200,7 +200,7 @@ def detect(docs: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """docs with every span of `text` replaced by its kind's token or removed; where spans overlap, the first one's token stands."""
-    found = all_spans(docs)
+    found = all_spans(docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_rest")))
 
     def tokens(kind: str) -> Column:
         return F.transform(f"_{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(TOKENS[kind]).alias("token")))
@@ -222,4 +222,4 @@ def sanitised(docs: DataFrame) -> DataFrame:
 
     found = found.withColumn("_all", F.array_sort(F.concat(*map(tokens, KINDS), term)))
     clean = F.when(F.size("_all") > 0, F.aggregate("_all", start, step, finish)).otherwise(text)
-    return found.withColumn("_clean", clean).select(*[F.col("_clean").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return found.withColumn("_clean", clean).select(*[F.col("_clean").alias("text") if c == "text" else F.col("_rest").getField(c).alias(c) for c in docs.columns])

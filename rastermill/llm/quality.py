@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import sliced, utf8
+from .shared import fresh, sliced, utf8
 
 WIDTH = 5
 FILTERS = 24
@@ -197,16 +197,16 @@ def score_texts(column: pa.Array, model: dict) -> np.ndarray:
     return combine(*pooled(raw, offsets, model["filters"]), model)
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """All columns of docs and the score of every row's whole text, as quality_score."""
+def score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
+    """All columns of docs and, in a column of that name, the score of every row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
             p = score_texts(part.column(part.schema.get_field_index("text")), shared.value)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*part.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], [*part.schema.names, name])
 
-    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias("quality_score")).schema)
+    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias(name)).schema)
 
 
 def in_training_fold(column: str = "doc_id"):
@@ -220,12 +220,13 @@ def classify(docs: DataFrame, labels: DataFrame, max_docs_per_class: int = MAX_D
     return score(docs, model).select(
         "doc_id",
         F.coalesce(~in_training_fold(), F.lit(False)).alias("held_out"),
-        F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= ACCEPT).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
     )
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier accepts, with their columns."""
     model = fit(docs.select("doc_id", "text"), labels.select("doc_id", "quality").where(in_training_fold()))
-    return score(docs, model).where(F.col("quality_score") >= ACCEPT).drop("quality_score")
+    name = fresh(docs, "score")
+    return score(docs, model, name).where(F.col(name) >= ACCEPT).drop(name)

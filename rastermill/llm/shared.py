@@ -67,6 +67,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or name with underscores, such that df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_bytes(batch: pa.RecordBatch, column: str) -> list[int]:
     """UTF-8 bytes of each row's text, 0 for null."""
     import pyarrow.compute as pc
