@@ -1,6 +1,564 @@
-"""Registry of the engine's own queries and their DuckDB equivalents."""
+"""Queries over virtual rasters, features and logs, one for each operator, with DuckDB equivalents."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .fixtures import view, with_ctes
+from .functions import scalar
+from .functions.scalar import CLASS_IDS
+from .operators import analysis, manifest, split, targets, validate, vector, windows
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+PATCH, STRIDE, GRID, THRESHOLD, RATIO = (16, 16), 8, 4, 0.3, 0.15
+WIDTH, HEIGHT = 64, 125
+TOTAL_PATCHES = 8 * 16
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def r6(x):
+    return F.round(x, 6)
+
+
+def images_of(pixels: DataFrame, width: int = WIDTH, height: int = HEIGHT) -> DataFrame:
+    return pixels.select("image_id").distinct().withColumn("width", F.lit(width)).withColumn("height", F.lit(height))
+
+
+_IMG = "img AS (SELECT DISTINCT image_id FROM lab1)"
+_WIN = "win AS (SELECT image_id, CAST(x AS BIGINT) x, CAST(y AS BIGINT) y FROM img, (SELECT unnest(range(0, 64, 8)) x), (SELECT unnest(range(0, 125, 8)) y))"
+_CLS = "cls AS (SELECT * FROM (VALUES ('background', 0), ('fore', 1), ('hydro', 2), ('road', 3), ('building', 4)) t(class_name, class_id))"
+
+
+# Windows and cells
+
+
+@query(with_ctes("lab1", f"{_IMG}, {_WIN} SELECT image_id, x, y, 16 w, 16 h FROM win"))
+def window_grid(spark, sf):
+    return windows.windows(images_of(view(spark, sf, "lab1")), PATCH, STRIDE)
+
+
+@query(with_ctes("lab1", f"{_IMG} SELECT image_id, CAST(ceil(64/8.0)*ceil(125/8.0) AS BIGINT) n_patches FROM img"))
+def patch_count(spark, sf):
+    return images_of(view(spark, sf, "lab1")).select("image_id", windows.patch_count(F.col("width"), F.col("height"), STRIDE).alias("n_patches"))
+
+
+_CELLS = """cells AS (SELECT image_id, gx, gy, concat(gx, '_', gy) cell_id,
+  CAST(floor(least(gx*(64/CAST(4 AS DOUBLE)), 64)) AS INT) minx, CAST(floor(least(gy*(125/CAST(4 AS DOUBLE)), 125)) AS INT) miny,
+  CAST(floor(least((gx+1)*(64/CAST(4 AS DOUBLE)), 64)) AS INT) maxx, CAST(floor(least((gy+1)*(125/CAST(4 AS DOUBLE)), 125)) AS INT) maxy
+  FROM img, (SELECT CAST(unnest(range(4)) AS INT) gx), (SELECT CAST(unnest(range(4)) AS INT) gy))"""
+
+
+@query(with_ctes("lab1", f"{_IMG}, {_CELLS} SELECT * FROM cells"))
+def grid_cells(spark, sf):
+    return windows.grid_cells(images_of(view(spark, sf, "lab1")), GRID)
+
+
+@query(with_ctes("lab1", f"""{_IMG}, {_WIN}, d AS (SELECT *, CAST(x AS DOUBLE) dx, CAST(y AS DOUBLE) dy, 64/CAST(6 AS DOUBLE) wx, 125/CAST(6 AS DOUBLE) wy FROM win)
+  SELECT image_id, x, y, CAST(floor((dx - dx % wx)/wx + 0.5) AS INT) gx, CAST(floor((dy - dy % wy)/wy + 0.5) AS INT) gy FROM d"""))
+def window_cell(spark, sf):
+    images = images_of(view(spark, sf, "lab1"))
+    return windows.with_cell(windows.windows(images, PATCH, STRIDE), images, 6).select("image_id", "x", "y", "gx", "gy")
+
+
+_COV = f"""{_IMG}, {_WIN}, cov AS (SELECT w.image_id, w.x, w.y, count(l.x) n FROM win w LEFT JOIN lab1 l ON l.image_id = w.image_id
+  AND l.x BETWEEN w.x AND w.x+15 AND l.y BETWEEN w.y AND w.y+15 AND l.class_id <> 0 GROUP BY ALL)"""
+
+
+def _kept(spark, sf):
+    labels = view(spark, sf, "lab1")
+    return windows.kept(windows.coverage(labels, images_of(labels), PATCH, STRIDE), PATCH, True, THRESHOLD)
+
+
+@query(with_ctes("lab1", f"{_COV} SELECT image_id, x, y, n n_labelled, round(n/256.0::DOUBLE, 6) share FROM cov WHERE n > 0 AND n/256.0::DOUBLE >= 0.3"))
+def patch_coverage_filter(spark, sf):
+    return _kept(spark, sf).select("image_id", "x", "y", "n_labelled", r6("share").alias("share"))
+
+
+@query(with_ctes("px4", """, void AS (SELECT image_id, x, y, bool_and(round(v, 1) = 0) void FROM px4 GROUP BY ALL)
+  SELECT p.image_id, p.x, p.y, CAST(CASE WHEN void THEN 255 ELSE 1 END AS INT) class_id FROM (SELECT DISTINCT image_id, x, y FROM px4) p JOIN void USING (image_id, x, y)""".lstrip(", ")))
+def nodata_ignore(spark, sf):
+    bands = view(spark, sf, "px4").withColumn("v", F.round("v", 1))
+    labels = bands.select("image_id", "x", "y").distinct().withColumn("class_id", F.lit(1))
+    return windows.masked_labels(bands, labels, 0.0)
+
+
+@query(with_ctes("px4", "SELECT image_id, x, y FROM px4 GROUP BY ALL HAVING bool_or(round(v, 1) <> 0)"))
+def valid_area(spark, sf):
+    return windows.valid_pixels(view(spark, sf, "px4").withColumn("v", F.round("v", 1)), 0.0)
+
+
+@query(with_ctes("lab1", """p AS (SELECT image_id key, x, y, class_id v FROM lab1),
+  s AS (SELECT key, a x, b y FROM (SELECT DISTINCT key FROM p), (SELECT unnest(range(70)) a), (SELECT unnest(range(130)) b))
+  SELECT s.key, s.x, s.y, p.v FROM s JOIN p ON p.key = s.key AND p.x = least(s.x, 63) AND p.y = least(s.y, 124)"""))
+def pad_patch(spark, sf):
+    patch = view(spark, sf, "lab1").select(F.col("image_id").alias("key"), "x", "y", F.col("class_id").alias("v"))
+    out = windows.padded(patch, F.lit(70), F.lit(130), (70, 130))
+    return out.select("key", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "v")
+
+
+# Class shares and band statistics
+
+_A1 = f"""{_CLS}, t AS (SELECT image_id, count(*) total FROM lab1 WHERE class_id IN (SELECT class_id FROM cls) GROUP BY 1),
+  a1 AS (SELECT i.image_id, c.class_name, c.class_id, coalesce((SELECT count(*) FROM lab1 l WHERE l.image_id = i.image_id AND l.class_id = c.class_id) / CAST(t.total AS DOUBLE), 0) share
+    FROM (SELECT DISTINCT image_id FROM lab1) i CROSS JOIN cls c LEFT JOIN t USING (image_id))"""
+
+
+@query(with_ctes("lab1", f"{_A1} SELECT image_id, class_name, round(share, 6) share FROM a1"))
+def image_class_distribution(spark, sf):
+    return analysis.image_distribution(view(spark, sf, "lab1")).select("image_id", "class_name", r6("share").alias("share"))
+
+
+_A2 = f"""{_IMG}, {_CLS}, {_CELLS}, inside AS (SELECT c.image_id, c.gx, c.gy, l.class_id, count(*) n FROM cells c JOIN lab1 l ON l.image_id = c.image_id
+    AND l.x >= c.minx AND l.x < c.maxx AND l.y >= c.miny AND l.y < c.maxy GROUP BY ALL),
+  a2 AS (SELECT c.image_id, c.gx, c.gy, c.cell_id, k.class_name, k.class_id, coalesce(i.n / CAST(p.n AS DOUBLE), 0) share, CAST(coalesce(p.n, 0) AS BIGINT) pixel_count
+    FROM cells c CROSS JOIN cls k LEFT JOIN inside i ON (i.image_id, i.gx, i.gy, i.class_id) = (c.image_id, c.gx, c.gy, k.class_id)
+    LEFT JOIN (SELECT image_id, gx, gy, sum(n) n FROM inside GROUP BY ALL) p ON (p.image_id, p.gx, p.gy) = (c.image_id, c.gx, c.gy))"""
+
+
+def _cells(spark, sf):
+    labels = view(spark, sf, "lab1")
+    return analysis.cell_distribution(labels, images_of(labels), GRID)
+
+
+@query(with_ctes("lab1", f"{_A2} SELECT image_id, gx, gy, cell_id, class_name, round(share, 6) share, pixel_count FROM a2"))
+def cell_class_distribution(spark, sf):
+    return _cells(spark, sf).withColumn("share", r6("share"))
+
+
+@query(with_ctes("lab1", f"{_A1} SELECT class_name, round(avg(share), 6) share FROM a1 GROUP BY 1"))
+def target_distribution(spark, sf):
+    return analysis.target_distribution(analysis.image_distribution(view(spark, sf, "lab1"))).select("class_name", r6("share").alias("share"))
+
+
+@query(with_ctes("lab1", f"{_A2} SELECT image_id, cell_id, coalesce(string_agg(class_name, ',' ORDER BY class_name) FILTER (share > 0.01), '') classes FROM a2 GROUP BY 1, 2"))
+def class_presence(spark, sf):
+    return analysis.present_classes(_cells(spark, sf)).withColumn("classes", F.concat_ws(",", "classes"))
+
+
+_STATS = """win AS (SELECT image_id, x, y FROM (SELECT DISTINCT image_id FROM px4), (SELECT unnest(range(0, 16, 8)) x), (SELECT unnest(range(0, 125, 8)) y)),
+  s AS (SELECT p.band, w.image_id, w.x, w.y, sum(v) s, sum(v*v) ss FROM win w JOIN px4 p ON p.image_id = w.image_id
+    AND p.x BETWEEN w.x AND w.x+15 AND p.y BETWEEN w.y AND w.y+15 GROUP BY ALL)"""
+
+
+@query(with_ctes("px4", f"""{_STATS} SELECT band, CAST(count(*)*256 AS BIGINT) n, count(*) patches, round(sum(s)/(count(*)*256), 6) mean,
+  round(sqrt(greatest(0, sum(ss)/(count(*)*256) - (sum(s)/(count(*)*256))*(sum(s)/(count(*)*256)))), 6) std FROM s GROUP BY band"""))
+def band_stats(spark, sf):
+    bands = view(spark, sf, "px4").withColumn("prefix", F.lit("sample"))
+    sums = windows.window_sums(bands, ["prefix", "image_id", "band"], {"s": F.sum("v"), "ss": F.sum(F.col("v") * F.col("v")), "n": F.count("*")}, PATCH, STRIDE)
+    stats = analysis.finalize(analysis.merge_partials(analysis.band_partials(sums, PATCH)))
+    return stats.select("band", "n", "patches", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+# Manifest state
+
+
+@query(with_ctes("patch_log", "SELECT s.split, count(p.split) n, round(count(p.split) / CAST((SELECT count(*) FROM patch_log) AS DOUBLE), 6) share FROM (VALUES ('trn'), ('val'), ('tst')) s(split) LEFT JOIN patch_log p ON p.split = s.split GROUP BY 1"))
+def split_counts(spark, sf):
+    return manifest.split_counts(view(spark, sf, "patch_log")).withColumn("share", r6("share"))
+
+
+_LAST = "last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY ts DESC, seq DESC) k FROM image_log) WHERE k = 1)"
+
+
+@query(with_ctes("image_log", f"{_LAST} SELECT status, count(*) n_images FROM last GROUP BY 1"))
+def image_status_counts(spark, sf):
+    return manifest.status_counts(view(spark, sf, "image_log"))
+
+
+@query(with_ctes("image_log", f"{_LAST} SELECT count(*) total, count(*) FILTER (status='completed') successful, count(*) FILTER (status='skipped') skipped, count(*) FILTER (status='failed') failed, count(*) FILTER (status IN ('failed','skipped')) legacy_failed FROM last"))
+def processing_summary(spark, sf):
+    return manifest.summary(view(spark, sf, "image_log"))
+
+
+@query(with_ctes("patch_log", "SELECT image_id, count(*) FILTER (split='trn') n_trn, count(*) FILTER (split='val') n_val, count(*) FILTER (split='tst') n_tst, string_agg(DISTINCT shard_id::VARCHAR, ',' ORDER BY shard_id::VARCHAR) shards FROM patch_log GROUP BY 1"))
+def image_shards(spark, sf):
+    out = manifest.image_shards(view(spark, sf, "patch_log"))
+    return out.withColumn("shards", F.array_join(F.sort_array(F.transform("shards", lambda x: x.cast("string"))), ","))
+
+
+@query(with_ctes("patch_log", """a AS (SELECT split, shard_id, count(*) patch_count, CAST(sum(size_bytes) AS BIGINT) size_bytes, count(DISTINCT image_id) images FROM patch_log GROUP BY 1, 2)
+  SELECT *, CAST(sum(patch_count) OVER (PARTITION BY split ORDER BY shard_id) AS BIGINT) cumulative FROM a"""))
+def shard_accounting(spark, sf):
+    return manifest.shard_table(view(spark, sf, "patch_log"))
+
+
+@query(with_ctes("patch_log", "SELECT split, CAST(sum(size_bytes) AS BIGINT) size_bytes FROM patch_log GROUP BY 1"))
+def bytes_by_split(spark, sf):
+    return manifest.bytes_by_split(manifest.shard_table(view(spark, sf, "patch_log")))
+
+
+@query(with_ctes("patch_log", """a AS (SELECT split, shard_id, CAST(sum(size_bytes) AS BIGINT) size_bytes, CASE WHEN shard_id % 2 = 0 THEN 'OPEN' ELSE 'CLOSED' END status FROM patch_log GROUP BY 1, 2),
+  o AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY size_bytes, shard_id) k FROM a WHERE status = 'OPEN' AND size_bytes < 2147483648)
+  SELECT o.split, o.shard_id, o.size_bytes, n.next_id FROM o JOIN (SELECT split, CAST(max(shard_id)+1 AS INT) next_id FROM a GROUP BY 1) n ON n.split = o.split WHERE k = 1"""))
+def open_shards(spark, sf):
+    shards = manifest.shard_table(view(spark, sf, "patch_log")).withColumn("status", F.when(F.col("shard_id") % 2 == 0, "OPEN").otherwise("CLOSED"))
+    return manifest.open_shard(shards).join(manifest.next_shard(shards), "split").select("split", "shard_id", "size_bytes", "next_id")
+
+
+PACK_LIMIT = 20_000_000
+
+
+@query(with_ctes("patch_stream", f"""o AS (SELECT split, patch_ord, size_bytes, row_number() OVER (PARTITION BY split ORDER BY patch_ord) k FROM patch_stream),
+  r(split, k, shard_id, fill) AS (SELECT split, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT) FROM (SELECT DISTINCT split FROM o)
+    UNION ALL SELECT o.split, o.k, CASE WHEN r.fill + o.size_bytes > {PACK_LIMIT} THEN r.shard_id + 1 ELSE r.shard_id END,
+      CASE WHEN r.fill + o.size_bytes > {PACK_LIMIT} THEN o.size_bytes ELSE r.fill + o.size_bytes END FROM r JOIN o ON o.split = r.split AND o.k = r.k + 1)
+  SELECT split, shard_id, count(*) patch_count, CAST(max(fill) AS BIGINT) size_bytes FROM r WHERE k > 0 GROUP BY 1, 2""", True))
+def shard_packing(spark, sf):
+    packed = manifest.pack(view(spark, sf, "patch_stream").select("patch_ord", "split", "size_bytes"), PACK_LIMIT)
+    return packed.groupBy("split", "shard_id").agg(F.count("*").alias("patch_count"), F.sum("size_bytes").alias("size_bytes"))
+
+
+@query(with_ctes("patch_log", """i AS (SELECT split, count(*) n FROM patch_log GROUP BY 1), s AS (SELECT split, count(*) n FROM patch_log WHERE shard_id > 0 GROUP BY 1),
+  m AS (SELECT p.split, coalesce(i.n, 0) a, coalesce(s.n, 0) b, coalesce(i.n, 0) c, CASE WHEN p.split = 'trn' THEN coalesce(i.n, 0) - 1 ELSE 0 END d FROM (VALUES ('trn'), ('val'), ('tst')) p(split) LEFT JOIN i USING (split) LEFT JOIN s USING (split))
+  SELECT split, CAST(a AS BIGINT) from_images, CAST(b AS BIGINT) from_shards, CAST(c AS BIGINT) from_statistics, CAST(d AS BIGINT) from_running,
+    concat_ws('; ', CASE WHEN a <> b THEN concat(split, ': images=', a, ' shards=', b) END, CASE WHEN split = 'trn' AND a <> d THEN concat('running=', d, ' images=', a) END) issues FROM m"""))
+def manifest_consistency(spark, sf):
+    log = view(spark, sf, "patch_log")
+    count = lambda df: df.groupBy("split").agg(F.count("*").alias("n"))
+    running = count(log.where("split = 'trn'")).withColumn("n", F.col("n") - 1)
+    out = manifest.consistency(count(log), count(log.where("shard_id > 0")), count(log), running)
+    return out.withColumn("issues", F.concat_ws("; ", "issues"))
+
+
+@query(with_ctes("image_log", f"{_LAST} SELECT c_custkey image_id FROM customer WHERE c_custkey NOT IN (SELECT image_id FROM last WHERE status = 'completed')"))
+def resume_anti_join(spark, sf):
+    inputs = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("image_id"))
+    return manifest.remaining_images(inputs, view(spark, sf, "image_log"))
+
+
+@query(with_ctes("patch_log", "a AS (SELECT DISTINCT image_id, x, y FROM patch_log), d AS (SELECT DISTINCT image_id, x, y FROM patch_log WHERE split = 'trn') SELECT a.* FROM a ANTI JOIN d USING (image_id, x, y)"))
+def resume_patches(spark, sf):
+    log = view(spark, sf, "patch_log")
+    return manifest.remaining_patches(log.select("image_id", "x", "y").distinct(), log.where("split = 'trn'"))
+
+
+@query(with_ctes("image_log", f"{_LAST} SELECT c_custkey image_id FROM customer WHERE c_custkey IN (SELECT image_id FROM last WHERE status = 'failed')"))
+def retry_semi_join(spark, sf):
+    inputs = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("image_id"))
+    return manifest.failed_images(inputs, view(spark, sf, "image_log"))
+
+
+# Pairs
+
+_PAIR_CASE = """CASE WHEN NOT (img_w > 0 AND img_h > 0) THEN 'invalid image' WHEN label_type = 'vector' AND pair_ord % 9 = 0 THEN 'invalid label'
+  WHEN label_type = 'vector' AND (img_srid IS NULL OR lab_srid IS NULL) THEN 'no georeference for vector label or image' WHEN label_type = 'vector' THEN 'valid'
+  WHEN NOT (lab_w > 0 AND lab_h > 0) THEN 'invalid label' WHEN (img_srid IS NULL OR lab_srid IS NULL) AND img_w = lab_w AND img_h = lab_h THEN 'not georeferenced but aligned'
+  WHEN img_srid IS NULL OR lab_srid IS NULL THEN 'no georeference and not aligned' ELSE 'valid' END"""
+
+
+@query(with_ctes("pair_meta", f"c AS (SELECT pair_ord, {_PAIR_CASE} reason FROM pair_meta) SELECT pair_ord, reason IN ('valid', 'not georeferenced but aligned') valid, reason = 'not georeferenced but aligned' special_case, reason FROM c"))
+def pair_validation(spark, sf):
+    pairs = view(spark, sf, "pair_meta").withColumn("label_ok", F.col("pair_ord") % 9 != 0)
+    return pairs.select("pair_ord", validate.pair_status().alias("s")).select("pair_ord", "s.*")
+
+
+@query(with_ctes("pair_meta", """b AS (SELECT *, 0.0::DOUBLE iminy, 100.0::DOUBLE imaxy, 20.0::DOUBLE lminy, 130.0::DOUBLE lmaxy FROM pair_meta),
+  o AS (SELECT *, greatest(least(imaxx, lmaxx)-greatest(iminx, lminx), 0)*greatest(least(imaxy, lmaxy)-greatest(iminy, lminy), 0) a,
+    (imaxx-iminx)*(imaxy-iminy)+(lmaxx-lminx)*(lmaxy-lminy) t, greatest(iminx, lminx) <= least(imaxx, lmaxx) m FROM b)
+  SELECT pair_ord, round(100*a/(t-a), 6) iou, CASE WHEN m THEN greatest(iminx, lminx) END ominx, CASE WHEN m THEN greatest(iminy, lminy) END ominy,
+    CASE WHEN m THEN least(imaxx, lmaxx) END omaxx, CASE WHEN m THEN least(imaxy, lmaxy) END omaxy FROM o"""))
+def overlap_iou(spark, sf):
+    pairs = view(spark, sf, "pair_meta").withColumns({k: F.lit(v) for k, v in {"iminy": 0.0, "imaxy": 100.0, "lminy": 20.0, "lmaxy": 130.0}.items()})
+    return validate.overlaps(pairs).select("pair_ord", r6("iou").alias("iou"), "ominx", "ominy", "omaxx", "omaxy")
+
+
+_SUFFIXES = [".tif", ".tiff", ".geojson", ".gpkg", ".shp", ".TIF"]
+
+
+@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'raster' WHEN 1 THEN 'raster' WHEN 2 THEN 'vector' WHEN 3 THEN 'vector' END label_type, concat('tile.', p_partkey) stem FROM part")
+def label_type_dispatch(spark, sf):
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    suffix = F.element_at(F.array(*map(F.lit, _SUFFIXES)), (F.col("p_partkey") % 6 + 1).cast("int"))
+    path = F.concat(F.lit("/data/a.b/tile."), F.col("p_partkey").cast("string"), suffix)
+    return part.select("p_partkey", scalar.label_type(path).alias("label_type"), scalar.stem(path).alias("stem"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, CASE CAST(l_quantity AS INT) % 7 WHEN 0 THEN 'nir' WHEN 1 THEN 'red' WHEN 2 THEN 'green' WHEN 3 THEN 'blue' WHEN 4 THEN 'nir' WHEN 5 THEN 'swir16' END cname FROM lineitem")
+def band_names(spark, sf):
+    names = F.element_at(F.array(*map(F.lit, ["n", "1", "G", "Blue", "4", "SWIR16", "zz"])), (F.col("l_quantity").cast("int") % 7 + 1).cast("int"))
+    return spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", scalar.common_name(names).alias("cname"))
+
+
+# Bands
+
+
+@query(with_ctes("px4", "SELECT image_id, x, y, CAST(CASE band WHEN 3 THEN 1 ELSE 2 END AS INT) band, round(v, 6) v FROM px4 WHERE band IN (3, 1)"))
+def band_projection(spark, sf):
+    from .operators.bands import project
+
+    return project(view(spark, sf, "px4"), [3, 1]).select("image_id", "x", "y", "band", r6("v").alias("v"))
+
+
+@query(with_ctes("px4", "SELECT image_id, x, y, CAST(CASE band WHEN 4 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS INT) band, round(v, 6) v FROM px4 WHERE band IN (4, 2, 1)"))
+def band_stack(spark, sf):
+    from .operators.bands import stack
+
+    px = view(spark, sf, "px4")
+    single = [px.where(F.col("band") == b).select("image_id", "x", "y", "v") for b in (4, 2, 1)]
+    return stack(single).select("image_id", "x", "y", "band", r6("v").alias("v"))
+
+
+STAC = """{"type":"Feature","id":"item","assets":{"B4":{"href":"s3://x/old.tif","description":"r","eo:bands":[{"common_name":"red"}]},"B04":{"href":"s3://x/red.tif","description":"r2","eo:bands":[{"common_name":"red"}]},"B08":{"href":"s3://x/nir.tif","description":"n","eo:bands":[{"common_name":"nir"}]},"rgb":{"href":"s3://x/rgb.tif","eo:bands":[{"common_name":"red"},{"common_name":"green"}]},"meta":{"href":"s3://x/m.xml"},"odd":{"href":"s3://x/odd.tif","eo:bands":[{"common_name":"weird"}]}}}"""
+
+
+@query("SELECT * FROM (VALUES ('red', 'B04', 's3://x/red.tif'), ('nir', 'B08', 's3://x/nir.tif')) t(common_name, asset, href)")
+def stac_assets(spark, sf):
+    from .sources.stac import assets
+
+    return assets(spark.createDataFrame([(STAC,)], "item string"), "item").select("common_name", "asset", "href")
+
+
+# Features
+
+
+def _feat(spark, sf):
+    return view(spark, sf, "feat")
+
+
+_FIMG = "fimg AS (SELECT DISTINCT image_id FROM feat)"
+
+
+def _fimages(spark, sf):
+    return images_of(_feat(spark, sf))
+
+
+def _values(spark, sf) -> list[str]:
+    """The first four class names in order."""
+    rows = _feat(spark, sf).select("class_name").distinct().orderBy("class_name").limit(4).collect()
+    return [r[0] for r in rows]
+
+
+_VALS = "vals AS (SELECT class_name, CAST(row_number() OVER (ORDER BY class_name) AS INT) burn_val FROM (SELECT DISTINCT class_name FROM feat ORDER BY 1 LIMIT 4))"
+
+
+@query(with_ctes("feat", f"{_VALS} SELECT feature_id, class_name, burn_val FROM feat JOIN vals USING (class_name)"))
+def burn_value_lookup(spark, sf):
+    return vector.burn_values(_feat(spark, sf), "class_name", _values(spark, sf)).select("feature_id", "class_name", "burn_val")
+
+
+_BURNED = f"""{_VALS}, burned AS (SELECT f.image_id, x, y, max(burn_val) class_id FROM feat f JOIN vals USING (class_name), (SELECT CAST(unnest(range(64)) AS BIGINT) x), (SELECT CAST(unnest(range(125)) AS BIGINT) y)
+  WHERE x+0.5 BETWEEN minx AND maxx AND y+0.5 BETWEEN miny AND maxy GROUP BY ALL)"""
+
+
+@query(with_ctes("feat", f"{_BURNED} SELECT * FROM burned"))
+def feature_overlay_last_wins(spark, sf):
+    return vector.overlay(vector.burn_values(_feat(spark, sf), "class_name", _values(spark, sf)), _fimages(spark, sf))
+
+
+@query(with_ctes("feat", f"{_BURNED} SELECT image_id, x, y, CAST(class_id AS DOUBLE) AS value FROM burned"))
+def polygon_rasterize(spark, sf):
+    features = targets.rect_rings(vector.burn_values(_feat(spark, sf), "class_name", _values(spark, sf)))
+    return targets.tile_pixels(targets.by_image(features, _fimages(spark, sf), "burned")).select("image_id", "x", "y", "value")
+
+
+_JOINED = """fwin AS (SELECT f.*, w.x, w.y FROM feat f, (SELECT CAST(unnest(range(0, 64, 8)) AS BIGINT) x) wx, (SELECT CAST(unnest(range(0, 125, 8)) AS BIGINT) y) wy, LATERAL (SELECT wx.x, wy.y) w
+  WHERE minx <= w.x+16 AND maxx >= w.x AND miny <= w.y+16 AND maxy >= w.y)"""
+
+
+def _joined(spark, sf):
+    return vector.window_features(_feat(spark, sf), _fimages(spark, sf), PATCH, STRIDE)
+
+
+@query(with_ctes("feat", f"{_JOINED} SELECT image_id, feature_id, x, y FROM fwin"))
+def window_feature_join(spark, sf):
+    return _joined(spark, sf).select("image_id", "feature_id", "x", "y")
+
+
+@query(with_ctes("feat", f"""{_JOINED} SELECT image_id, feature_id, x, y, round(greatest(minx, x), 2) cminx, round(greatest(miny, y), 2) cminy, round(least(maxx, x+16), 2) cmaxx, round(least(maxy, y+16), 2) cmaxy,
+  (minx < x OR miny < y OR maxx > x+16 OR maxy > y+16) is_truncated FROM fwin"""))
+def rect_clip(spark, sf):
+    cut = vector.clip_to_window(_joined(spark, sf), PATCH)
+    return cut.select("image_id", "feature_id", "x", "y", *[F.round(c, 2).alias(c) for c in ("cminx", "cminy", "cmaxx", "cmaxy")], "is_truncated")
+
+
+@query(with_ctes("feat", """d AS (SELECT *, (0.2 + size % 6 * 0.2)::DOUBLE px FROM feat), e AS (SELECT *, CASE WHEN px > 1 THEN 0 WHEN px < 0.6 THEN px ELSE 0.6 END AS d FROM d),
+  k AS (SELECT *, size % 2 = 0 AND d > 0 AND maxx-minx-2*d > 0 AND maxy-miny-2*d > 0 AND (maxx-minx-2*d)*(maxy-miny-2*d) >= 4 AND least(maxx-minx-2*d, maxy-miny-2*d) >= 1.5 AND (maxx-minx)*(maxy-miny) >= 12 go FROM e)
+  SELECT feature_id, go is_eroded, round(minx + CASE WHEN go THEN d ELSE 0 END, 6) minx, round(miny + CASE WHEN go THEN d ELSE 0 END, 6) miny,
+    round(maxx - CASE WHEN go THEN d ELSE 0 END, 6) maxx, round(maxy - CASE WHEN go THEN d ELSE 0 END, 6) maxy FROM k"""))
+def erosion_decision(spark, sf):
+    px = (F.lit(0.2) + F.col("size") % 6 * F.lit(0.2)).cast("double")
+    out = vector.erode(_feat(spark, sf), scalar.erosion_distance(px), F.col("size") % 2 == 0)
+    return out.select("feature_id", "is_eroded", *[r6(c).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+
+
+_CORNERS = "pts AS (SELECT image_id, minx px, miny py FROM feat UNION ALL SELECT image_id, maxx, miny FROM feat UNION ALL SELECT image_id, maxx, maxy FROM feat UNION ALL SELECT image_id, minx, maxy FROM feat)"
+
+
+def _splat_sql(sigma: float, r: int) -> str:
+    return f"""c AS (SELECT *, least(greatest(CAST(trunc(px) AS BIGINT), {r}), {WIDTH - r - 1}) cx, least(greatest(CAST(trunc(py) AS BIGINT), {r}), {HEIGHT - r - 1}) cy FROM pts)
+  SELECT image_id, cx+dx x, cy+dy y, round(least(1, sum(exp(-(pow(cx+dx-px, 2)+pow(cy+dy-py, 2))/{2 * sigma * sigma}))), 6) weight
+  FROM c, (SELECT unnest(range({-r}, {r + 1})) dx), (SELECT unnest(range({-r}, {r + 1})) dy) GROUP BY 1, 2, 3"""
+
+
+@query(with_ctes("feat", f"{_CORNERS}, {_splat_sql(1.5, 5)}"))
+def vertex_heatmap(spark, sf):
+    return vector.splat(vector.corners(_feat(spark, sf)), _fimages(spark, sf), 1.5, 5).withColumn("weight", r6("weight"))
+
+
+@query(with_ctes("feat", f"""e AS (SELECT image_id, minx x0, miny y0, maxx x1, miny y1 FROM feat UNION ALL SELECT image_id, maxx, miny, maxx, maxy FROM feat UNION ALL SELECT image_id, maxx, maxy, minx, maxy FROM feat UNION ALL SELECT image_id, minx, maxy, minx, miny FROM feat),
+  n AS (SELECT *, greatest(CAST(trunc(2*sqrt((x1-x0)*(x1-x0)+(y1-y0)*(y1-y0))) AS INT), 1) n FROM e), k AS (SELECT *, unnest(range(n)) k FROM n),
+  pts AS (SELECT image_id, x0 + CASE WHEN n > 1 THEN k/CAST(n-1 AS DOUBLE) ELSE 0 END * (x1-x0) px, y0 + CASE WHEN n > 1 THEN k/CAST(n-1 AS DOUBLE) ELSE 0 END * (y1-y0) py FROM k), {_splat_sql(0.8, 2)}"""))
+def boundary_map(spark, sf):
+    return vector.splat(vector.edge_samples(_feat(spark, sf)), _fimages(spark, sf), 0.8, 2).withColumn("weight", r6("weight"))
+
+
+#: Pixel ranges of rectangles by the centre rule, cut to the image.
+_MASKS = f"""m AS (SELECT *, greatest(CAST(ceil(minx-0.5) AS INT), 0) x0, least(CAST(floor(maxx-0.5) AS INT), {WIDTH - 1}) x1, greatest(CAST(ceil(miny-0.5) AS INT), 0) y0, least(CAST(floor(maxy-0.5) AS INT), {HEIGHT - 1}) y1 FROM feat),
+  mm AS (SELECT * FROM m WHERE x0 <= x1 AND y0 <= y1)"""
+REACH = 6.0
+
+
+@query(with_ctes("feat", f"""{_MASKS}, near AS (SELECT mm.image_id, CAST(a AS BIGINT) x, CAST(b AS BIGINT) y, sqrt(pow(greatest(x0-a, a-x1, 0), 2)+pow(greatest(y0-b, b-y1, 0), 2)) d
+    FROM mm, (SELECT unnest(range({WIDTH})) a), (SELECT unnest(range({HEIGHT})) b) WHERE a BETWEEN x0-7 AND x1+7 AND b BETWEEN y0-7 AND y1+7),
+  two AS (SELECT image_id, x, y, list_sort(list(d))[1:2] ds FROM near WHERE d < {REACH} GROUP BY ALL)
+  SELECT image_id, x, y, round(exp(-(ds[1]+ds[2])/3.0), 6) AS value FROM two WHERE len(ds) = 2"""))
+def two_nearest_distance(spark, sf):
+    tiles = targets.dual_distance(targets.rect_rings(_feat(spark, sf)), _fimages(spark, sf), REACH, tile=40)
+    return targets.tile_pixels(tiles).select("image_id", "x", "y", r6("value").alias("value"))
+
+
+_FAR = "999999"
+
+
+@query(with_ctes("feat", f"""{_MASKS}, d AS (SELECT mm.image_id, CAST(a AS BIGINT) x, CAST(b AS BIGINT) y, least(CASE WHEN x0 > 0 THEN a-x0+1 ELSE {_FAR} END, CASE WHEN x1 < {WIDTH - 1} THEN x1-a+1 ELSE {_FAR} END,
+    CASE WHEN y0 > 0 THEN b-y0+1 ELSE {_FAR} END, CASE WHEN y1 < {HEIGHT - 1} THEN y1-b+1 ELSE {_FAR} END) d
+    FROM mm, (SELECT unnest(range({WIDTH})) a), (SELECT unnest(range({HEIGHT})) b) WHERE size % 2 = 0 AND a BETWEEN x0 AND x1 AND b BETWEEN y0 AND y1),
+  w AS (SELECT image_id, x, y, max(d) d FROM d GROUP BY ALL)
+  SELECT image_id, x, y, round(d / CAST(max(d) OVER (PARTITION BY image_id) AS DOUBLE), 6) AS value FROM w"""))
+def road_centerline(spark, sf):
+    roads = targets.rect_rings(_feat(spark, sf).where("size % 2 = 0"))
+    tiles = targets.by_image(roads, _fimages(spark, sf), "roads_centerline_weight")
+    return targets.tile_pixels(tiles).select("image_id", "x", "y", r6("value").alias("value"))
+
+
+@query(with_ctes("feat", f"""{_MASKS}, g AS (SELECT image_id, a x, b y FROM (SELECT DISTINCT image_id FROM mm), (SELECT CAST(unnest(range({WIDTH})) AS BIGINT) a), (SELECT CAST(unnest(range({HEIGHT})) AS BIGINT) b)),
+  inn AS (SELECT g.image_id, g.x, g.y, EXISTS (SELECT 1 FROM mm WHERE mm.image_id = g.image_id AND mm.size % 5 = 0 AND g.x BETWEEN x0 AND x1 AND g.y BETWEEN y0 AND y1) i FROM g),
+  d AS (SELECT p.image_id, p.x, p.y, p.i, sqrt(min((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y))) d FROM inn p JOIN inn q ON q.image_id = p.image_id AND q.i <> p.i GROUP BY ALL)
+  SELECT image_id, x, y, round(CASE WHEN i THEN d ELSE -d END / max(greatest(d, 1)) OVER (PARTITION BY image_id), 6) AS value FROM d"""))
+def signed_distance(spark, sf):
+    some = targets.rect_rings(_feat(spark, sf).where("size % 5 = 0"))
+    tiles = targets.by_image(some, _fimages(spark, sf), "sdf")
+    return targets.tile_pixels(tiles, zeros=True).select("image_id", "x", "y", r6("value").alias("value"))
+
+
+@query(with_ctes("feat", """SELECT feature_id, concat('{"class_name":"', class_name, '","size":"', size, '"}') AS props FROM feat"""))
+def geojson_props(spark, sf):
+    props = F.create_map(*[x for c in ("class_name", "size") for x in (F.lit(c), F.col(c).cast("string"))], F.lit("burn_val"), F.lit("1"))
+    return _feat(spark, sf).select("feature_id", vector.properties_json(props).alias("props"))
+
+
+@query(with_ctes("feat", f"""{_JOINED} SELECT image_id, x, y, count(*) n_features, string_agg(feature_id::VARCHAR, ',' ORDER BY feature_id) ids FROM fwin GROUP BY 1, 2, 3"""))
+def patch_geojson(spark, sf):
+    clipped = vector.clip_to_window(_joined(spark, sf), PATCH)
+    made = vector.feature_collections(clipped, 3857, F.struct("is_truncated", "feature_id", "class_name"))
+    schema = "features array<struct<properties:struct<feature_id:bigint>>>"
+    back = made.withColumn("ids", F.from_json("geojson", schema)["features"]["properties"]["feature_id"])
+    return back.select("image_id", "x", "y", F.size("ids").cast("long").alias("n_features"), F.concat_ws(",", F.transform("ids", lambda i: i.cast("string"))).alias("ids"))
+
+
+# Splits
+
+_COUNTS = "counts AS (SELECT 'sample' AS prefix, s_suppkey pair_ord, 40+s_suppkey*7 % 23 n_trn, s_suppkey*5 % 19 n_val, CASE WHEN s_suppkey % 10 = 0 THEN 5 ELSE 0 END n_tst FROM supplier)"
+
+
+@query(f"""WITH {_COUNTS}, w AS (SELECT prefix, pair_ord, sum(n_trn) OVER b t, sum(n_val) OVER b v, sum(n_trn+n_val+n_tst) OVER b n FROM counts WINDOW b AS (ORDER BY pair_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  s AS (SELECT prefix, pair_ord, CASE WHEN n > 0 THEN t/CAST(n AS DOUBLE) ELSE 0 END t, CASE WHEN n > 0 THEN v/CAST(n AS DOUBLE) ELSE 0 END v FROM w)
+  SELECT prefix, pair_ord, round(CASE WHEN abs(t-0.8) <= 0.03 THEN 0.1 WHEN v > 0.2 THEN 0.1 ELSE 0.15 END::DOUBLE, 6) ratio FROM s""")
+def adaptive_ratio(spark, sf):
+    spark.read.parquet(f"{sf}/supplier.parquet").createOrReplaceTempView("supplier")
+    counts = spark.sql(_COUNTS[len("counts AS (") : -1])
+    return split.ratios_so_far(counts, 0.1).withColumn("ratio", r6("ratio"))
+
+
+_CHOSEN = f"""{_A2}, tg AS (SELECT class_id, round(avg(share), 12) t FROM (SELECT image_id, class_id, sum(n)/sum(sum(n)) OVER (PARTITION BY image_id) share FROM inside GROUP BY 1, 2) GROUP BY 1),
+  sc AS (SELECT image_id, gx, gy, gx*4+gy g, round(sum(abs(share - coalesce(t, 0))), 9) cs, CAST(sum(CASE WHEN share > 0.01 THEN pow(2, class_id) ELSE 0 END) AS INT) bits FROM a2 LEFT JOIN tg USING (class_id) GROUP BY 1, 2, 3),
+  pick(image_id, chosen, covered, n) AS (SELECT DISTINCT image_id, CAST([] AS INT[]), 0, 0 FROM sc
+    UNION ALL SELECT image_id, list_append(chosen, b.g), covered | b.bits, n + 1 FROM (
+      SELECT p.image_id, p.chosen, p.covered, p.n, min(row(CASE WHEN (bits & ~covered) <> 0 THEN 0 ELSE 1 END,
+        CASE WHEN (bits & ~covered) <> 0 THEN -10.0*bit_count(bits & ~covered) ELSE 0 END + 0.5*cs + 0.5*CASE WHEN n = 0 THEN -(abs(gx-greatest(gx, gy)/2.0)+abs(gy-greatest(gx, gy)/2.0)) ELSE -list_min(list_transform(chosen, lambda c: abs(gx-c//4)+abs(gy-c%4))) END,
+        sc.g, sc.bits)) m, struct_extract(m, 3) g_, struct_extract(m, 4) b_, {{'g': struct_extract(m, 3), 'bits': struct_extract(m, 4)}} b
+      FROM pick p JOIN sc ON sc.image_id = p.image_id AND NOT list_contains(p.chosen, sc.g) WHERE p.n * {TOTAL_PATCHES / 16} < {max(5, int(TOTAL_PATCHES * RATIO))} GROUP BY p.image_id, p.chosen, p.covered, p.n)),
+  val AS (SELECT image_id, chosen[n] g, n-1 pick FROM pick WHERE n > 0)"""
+
+
+def _chosen(spark, sf):
+    """Cells for one ratio; scores are rounded so that sums in another order choose alike."""
+    labels = view(spark, sf, "lab1")
+    cells = _cells(spark, sf)
+    counts = analysis.cell_counts(labels, images_of(labels), GRID)
+    total = counts.groupBy("image_id").agg(F.sum("n").alias("total"))
+    share = counts.groupBy("image_id", "class_id").agg(F.sum("n").alias("n")).join(total, "image_id").withColumn("share", F.col("n") / F.col("total"))
+    names = {v: k for k, v in CLASS_IDS.items()}
+    goal = {names[r["class_id"]]: r["t"] for r in share.groupBy("class_id").agg(F.round(F.avg("share"), 12).alias("t")).collect()}  # one row a class
+    return split.validation_cells(cells.withColumn("total_patches", F.lit(TOTAL_PATCHES)), goal, GRID, [RATIO])
+
+
+@query(with_ctes("lab1", f"{_CHOSEN} SELECT image_id, concat(g//4, '_', g%4) cell_id, CAST(pick AS INT) pick FROM val", True))
+def validation_cells(spark, sf):
+    return _chosen(spark, sf).select("image_id", "cell_id", "pick")
+
+
+@query(with_ctes("lab1", f"""{_CHOSEN}, {_WIN}, cov AS (SELECT w.image_id, w.x, w.y, count(l.x) n FROM win w LEFT JOIN lab1 l ON l.image_id = w.image_id AND l.x BETWEEN w.x AND w.x+15 AND l.y BETWEEN w.y AND w.y+15 AND l.class_id <> 0 GROUP BY ALL),
+  k AS (SELECT *, CAST(floor(x/16.0) AS INT)*4+CAST(floor(y/31.25) AS INT) g FROM cov WHERE n/256.0::DOUBLE >= 0.3)
+  SELECT k.image_id, k.x, k.y, concat('sample_', k.image_id, '_', k.x, '_', k.y) patch_id, CASE WHEN v.g IS NULL THEN 'trn' ELSE 'val' END split FROM k LEFT JOIN val v ON v.image_id = k.image_id AND v.g = k.g""", True))
+def split_assignment(spark, sf):
+    images = images_of(view(spark, sf, "lab1"))
+    kept = windows.with_cell(_kept(spark, sf).select("image_id", "x", "y"), images, GRID)
+    out = split.assign(kept, _chosen(spark, sf))
+    key = scalar.patch_key(F.lit("sample"), F.col("image_id").cast("string"), F.col("x"), F.col("y"))
+    return out.select("image_id", "x", "y", key.alias("patch_id"), "split")
+
+
+@query()
+def random_cells(spark, sf):
+    return spark.createDataFrame([(c, 42) for c in split.random_cells(16, 0.1, 42)], "cell_id string, seed int")
+
+
+# Sinks and reports
+
+
+@query(with_ctes("patch_log", """a AS (SELECT *, row_number() OVER (PARTITION BY split, image_id ORDER BY x, y, size_bytes, shard_id) k, dense_rank() OVER (PARTITION BY split ORDER BY image_id) i FROM patch_log)
+  SELECT split, image_id, x, y FROM a WHERE i <= 3 AND k <= CASE WHEN i <= 5 % 3 THEN 2 ELSE 1 END"""))
+def summary_sample(spark, sf):
+    from .operators.reports import stratified_sample
+
+    return stratified_sample(view(spark, sf, "patch_log"), images_per_split=3, samples_per_split=5).select("split", "image_id", "x", "y")
+
+
+@query(with_ctes("patch_log", "SELECT split, concat('image/', image_id, '_', x, '_', y, '.tif;label/', image_id, '_', x, '_', y, '.tif', CASE WHEN y % 2 = 0 THEN concat(';vector/', image_id, '_', x, '_', y, '.geojson') ELSE '' END) line FROM patch_log"))
+def csv_index_line(spark, sf):
+    from .sources.csv_index import index_line
+
+    log = view(spark, sf, "patch_log")
+    key = F.concat_ws("_", *[F.col(c).cast("string") for c in ("image_id", "x", "y")])
+    path = lambda folder, ext: F.concat(F.lit(folder + "/"), key, F.lit(ext))
+    vector_path = F.when(F.col("y") % 2 == 0, path("vector", ".geojson"))
+    return log.select("split", index_line(path("image", ".tif"), path("label", ".tif"), F.array().cast("array<string>"), vector_path).alias("line"))
+
+
+@query(with_ctes("patch_log", "SELECT DISTINCT concat('sample_', image_id, '_', x, '_', y) patch_id, format('sample-{}-{:06d}.tar', split, shard_id) shard FROM patch_log"))
+def patch_key(spark, sf):
+    log = view(spark, sf, "patch_log")
+    return log.select(scalar.patch_key(F.lit("sample"), F.col("image_id").cast("string"), F.col("x"), F.col("y")).alias("patch_id"), scalar.shard_path(F.lit("sample"), F.col("split"), F.col("shard_id")).alias("shard")).distinct()
+
+
+@query(with_ctes("lab1", f"{_COV} SELECT k.image_id, k.x, k.y, count(DISTINCT class_id) n_values FROM (SELECT * FROM cov WHERE n/256.0::DOUBLE >= 0.3) k JOIN lab1 l ON l.image_id = k.image_id AND l.x BETWEEN k.x AND k.x+15 AND l.y BETWEEN k.y AND k.y+15 GROUP BY 1, 2, 3"))
+def patch_label_values(spark, sf):
+    labels = view(spark, sf, "lab1")
+    by_class = windows.window_sums(labels, ["image_id", "class_id"], {"n": F.count("*")}, PATCH, STRIDE)
+    values = by_class.groupBy("image_id", "x", "y").agg(F.count("*").alias("n_values"))
+    return _kept(spark, sf).select("image_id", "x", "y").join(values, ["image_id", "x", "y"])
