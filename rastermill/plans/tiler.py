@@ -11,6 +11,7 @@ import io
 import json
 import tarfile
 import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -78,29 +79,30 @@ class Settings:
 
 
 @lru_cache(maxsize=16)
-def _opened(path: str) -> tuple[geotiff.Ranges, geotiff.Header]:
+def _opened(path: str, run: str) -> tuple[geotiff.Ranges, geotiff.Header]:
+    """An open file; `run` names the job, so that a later job sees a file that has changed."""
     src = geotiff.Ranges(path)
     return src, geotiff.header(src)
 
 
 @lru_cache(maxsize=8)
-def _band_rows(path: str, first: int, last: int, bands: tuple[int, ...] | None) -> np.ndarray:
-    src, h = _opened(path)
+def _band_rows(path: str, run: str, first: int, last: int, bands: tuple[int, ...] | None) -> np.ndarray:
+    src, h = _opened(path, run)
     return geotiff.read_rows(src, h, first, last, list(bands) if bands else None)
 
 
-def read_window(path: str, x: int, y: int, w: int, h: int, fill: float, limit: tuple[int, int, int, int], bands: tuple[int, ...] | None = None) -> np.ndarray:
+def read_window(path: str, run: str, x: int, y: int, w: int, h: int, fill: float, limit: tuple[int, int, int, int], bands: tuple[int, ...] | None = None) -> np.ndarray:
     """(bands, h, w) of a window within limit (col_off, row_off, width, height); what lies outside is `fill`.
 
     Rows are read in runs of the window's height, which the windows of one row share.
     """
-    _, head = _opened(path)
+    _, head = _opened(path, run)
     col0, row0, width, height = limit
     n = len(bands) if bands else head.count
     out = np.full((n, h, w), fill, head.dtype.newbyteorder("="))
     rows, cols = min(h, height - y), min(w, width - x)
     if rows > 0 and cols > 0:
-        part = _band_rows(path, row0 + y, row0 + y + rows, bands)
+        part = _band_rows(path, run, row0 + y, row0 + y + rows, bands)
         out[:, :rows, :cols] = part[:, :, col0 + x : col0 + x + cols]
     return out
 
@@ -308,7 +310,7 @@ class Tiler:
         """Partial counts of the labels: kind 'cell' (gx, gy, class_id, n) by cell bounds and 'tile' (cx, cy, n labelled)."""
         s = self.settings
         tx, ty = gcd(s.patch_size[1], s.stride), gcd(s.patch_size[0], s.stride)
-        grid = s.grid_size
+        grid, job = s.grid_size, uuid.uuid4().hex
         parts = ready.select("image_id", F.coalesce("v_path", "lab_path").alias("path"), F.coalesce(F.when(F.col("v_path").isNull(), F.col("l_col_off")), F.lit(0)).alias("col"), F.coalesce(F.when(F.col("v_path").isNull(), F.col("l_row_off")), F.lit(0)).alias("row"), "c_w", "c_h")
         parts = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c_h") - 1, F.lit(geotiff.ROWS).cast("long"))).alias("top")).repartition("image_id", "top")
 
@@ -317,7 +319,7 @@ class Tiler:
                 for r in batch.to_pylist():
                     w, h = r["c_w"], r["c_h"]
                     last = min(h, r["top"] + geotiff.ROWS)
-                    x = _band_rows(r["path"], r["row"] + r["top"], r["row"] + last, (1,))[0][:, r["col"] : r["col"] + w].astype(np.int64)
+                    x = _band_rows(r["path"], job, r["row"] + r["top"], r["row"] + last, (1,))[0][:, r["col"] : r["col"] + w].astype(np.int64)
                     line = lambda size: np.array([int(min((g + 1) * (size / grid), size)) for g in range(grid)])
                     gx, gy = np.searchsorted(line(w), np.arange(w), "right"), np.searchsorted(line(h), np.arange(r["top"], last), "right")
                     rows = []
@@ -412,7 +414,7 @@ class Tiler:
         s = self.settings
         ph, pw = s.patch_size
         folder, prefix, tar = self.folder, s.prefix, s.output_format == "tar"
-        picked = tuple(s.band_indices) if s.band_indices else None
+        picked, job = tuple(s.band_indices) if s.band_indices else None, uuid.uuid4().hex
         dealt = samples.repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "patch_ord")
 
         def make(r: dict) -> tuple[str, dict[str, np.ndarray], dict, list, tuple]:
@@ -421,18 +423,18 @@ class Tiler:
             x, y = r["x"], r["y"]
             parts = r["path"].split("|")
             if len(parts) > 1:
-                image = np.concatenate([read_window(p, x, y, pw, ph, fill, limit, (1,)) for p in parts])
+                image = np.concatenate([read_window(p, job, x, y, pw, ph, fill, limit, (1,)) for p in parts])
                 image = image[[b - 1 for b in picked]] if picked else image
             else:
-                image = read_window(parts[0], x, y, pw, ph, fill, limit, picked)
+                image = read_window(parts[0], job, x, y, pw, ph, fill, limit, picked)
             own = r["v_path"] is not None
             lab_limit = (0, 0, r["c_w"], r["c_h"]) if own else (r["l_col_off"], r["l_row_off"], r["c_w"], r["c_h"])
-            label = read_window(r["v_path"] if own else r["lab_path"], x, y, pw, ph, 0, lab_limit)
+            label = read_window(r["v_path"] if own else r["lab_path"], job, x, y, pw, ph, 0, lab_limit)
             if r["nodata"] is not None:
                 label[0][(image == r["nodata"]).all(axis=0)] = IGNORE
             arrays = {"image_patch": image, "label_patch": label}
             for name, path in json.loads(r["v_targets"] or "{}").items():
-                arrays[name] = read_window(path, x, y, pw, ph, 0, (0, 0, r["c_w"], r["c_h"]))[0]
+                arrays[name] = read_window(path, job, x, y, pw, ph, 0, (0, 0, r["c_w"], r["c_h"]))[0]
             key = f"{prefix}_{r['image_id']}_{x}_{y}"
             meta = dict(r["metadata"] or [])
             sensor = meta.get("collection", "unknown")

@@ -562,3 +562,52 @@ def patch_label_values(spark, sf):
     by_class = windows.window_sums(labels, ["image_id", "class_id"], {"n": F.count("*")}, PATCH, STRIDE)
     values = by_class.groupBy("image_id", "x", "y").agg(F.count("*").alias("n_values"))
     return _kept(spark, sf).select("image_id", "x", "y").join(values, ["image_id", "x", "y"])
+
+
+# Codecs and whole runs, checked by their own round trip
+
+
+@query()
+def tar_roundtrip(spark, sf):
+    """Every patch of the log as a sample in a tar shard, read back."""
+    import tempfile
+
+    from .sources.shards import npy, read_shards, write_shards
+
+    log = view(spark, sf, "patch_log").select("split", "shard_id", "image_id", "x", "y", "size_bytes").distinct()
+    key = F.concat_ws("_", F.lit("sample"), *[F.col(c).cast("string") for c in ("image_id", "x", "y", "size_bytes", "shard_id")])
+    member = F.create_map(F.lit("metadata.json"), F.encode(F.to_json(F.struct("x", "y", "size_bytes")), "UTF-8"))
+    samples = log.withColumns({"file": scalar.shard_path(F.lit("sample"), F.col("split"), F.col("shard_id")), "patch_id": key, "patch_ord": key, "members": member})
+    folder = tempfile.mkdtemp(prefix="rastermill-")
+    paths = [r["path"] for r in write_shards(samples, folder).collect()]
+    back = read_shards(spark, paths).select("patch_id", F.from_json(F.decode(F.col("members")["metadata.json"], "UTF-8"), "x long, y long, size_bytes long").alias("m"))
+    return back.select("patch_id", "m.*")
+
+
+@query()
+def npy_roundtrip(spark, sf):
+    """Every embedding as a npy file, read back."""
+    from .sources.shards import from_npy, npy
+
+    def run(frames):
+        for frame in frames:
+            yield frame.assign(same=[bool((from_npy(npy(e)) == e).all()) for e in frame["embedding"]])[["vec_id", "same"]]
+
+    return spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").mapInPandas(run, "vec_id long, same boolean")
+
+
+@query()
+def geotiff_roundtrip(spark, sf):
+    """Every virtual image as a GeoTIFF, read back; the sum and number of its pixels."""
+    import numpy as np
+    import pandas as pd
+
+    from .sources import geotiff
+
+    def run(key, frame):
+        x = np.zeros((HEIGHT, WIDTH), np.float32)
+        x[frame["y"], frame["x"]] = frame["v"]
+        head, back = geotiff.read(geotiff.write(x, (0.5, 0.0, 1.0, 0.0, -0.5, 2.0), 3857, -1.0, geotiff.LZW))
+        return pd.DataFrame([(key[0], head.width, head.height, head.srid, bool((back[0] == x).all()))], columns=["image_id", "width", "height", "srid", "same"])
+
+    return view(spark, sf, "px1").groupBy("image_id").applyInPandas(run, "image_id long, width int, height int, srid int, same boolean")

@@ -81,9 +81,11 @@ def geopackage_geometry(blob: bytes | None) -> tuple[int | None, list]:
 def problem(rings: list) -> str | None:
     """Why a polygon cannot be used; repairing self-intersections is out of scope, so they are reported."""
     pts = np.asarray(rings[0], float)
-    if len(pts) < 4 or area(pts) == 0:
+    if len(pts) < 4:
         return "empty polygon"
-    return "self-intersecting polygon" if self_intersects(pts) else None
+    if self_intersects(pts):
+        return "self-intersecting polygon"
+    return "empty polygon" if area(pts) == 0 else None
 
 
 def _rows(name: str, layer: str, first: int, polygons: list, props: dict, srid: int | None) -> list[tuple]:
