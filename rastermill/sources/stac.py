@@ -21,11 +21,11 @@ def assets(items: DataFrame, column: str) -> DataFrame:
     Of several assets with one name the last in the document counts. An item without any gives no row.
     """
     keys = [c for c in items.columns if c != column]
-    parsed = items.select(*keys, F.from_json(column, ITEM).alias("i")).select(*keys, F.posexplode(F.map_entries("i.assets")).alias("k", "a"))
-    bands = F.col("a.value").getField("eo:bands")
+    parsed = items.select(*keys, F.from_json(column, ITEM).alias("_item")).select(*keys, F.posexplode(F.map_entries("_item.assets")).alias("_place", "_asset"))
+    bands = F.col("_asset.value").getField("eo:bands")
     named = parsed.where((F.size(bands) == 1) & bands[0]["common_name"].isin(*COMMON_NAMES))
-    row = F.struct(F.col("a.key").alias("asset"), F.col("a.value.href").alias("href"), bands[0].alias("meta"))
-    return named.groupBy(*keys, bands[0]["common_name"].alias("common_name")).agg(F.max_by(row, "k").alias("r")).select(*keys, "common_name", "r.*")
+    row = F.struct(F.col("_asset.key").alias("asset"), F.col("_asset.value.href").alias("href"), bands[0].alias("meta"))
+    return named.groupBy(*keys, bands[0]["common_name"].alias("common_name")).agg(F.max_by(row, "_place").alias("_row")).select(*keys, "common_name", "_row.*")
 
 
 def requested(items: DataFrame, column: str, wanted: list[str]) -> DataFrame:
