@@ -139,9 +139,9 @@ def cell_class_distribution(spark, sf):
     return _cells(spark, sf).withColumn("share", r6("share"))
 
 
-@query(with_ctes("lab1", f"{_A1} SELECT class_name, round(avg(share), 6) share FROM a1 GROUP BY 1"))
+@query(with_ctes("lab1", f"{_A1} SELECT class_name, round(avg(share), 9) share FROM a1 GROUP BY 1"))
 def target_distribution(spark, sf):
-    return analysis.target_distribution(analysis.image_distribution(view(spark, sf, "lab1"))).select("class_name", r6("share").alias("share"))
+    return analysis.target_distribution(analysis.image_distribution(view(spark, sf, "lab1"))).select("class_name", F.round("share", 9).alias("share"))  # shares are multiples of 1/32000: no ties at 9 places
 
 
 @query(with_ctes("lab1", f"{_A2} SELECT image_id, cell_id, coalesce(string_agg(class_name, ',' ORDER BY class_name) FILTER (share > 0.01), '') classes FROM a2 GROUP BY 1, 2"))

@@ -16,7 +16,7 @@ def plain(v):
     if isinstance(v, Decimal):
         v = float(v)
     if isinstance(v, float):
-        return round(v, 6) + 0.0
+        return round(v, 9) + 0.0
     return str(v) if isinstance(v, date | datetime) else v
 
 
