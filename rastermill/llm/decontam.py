@@ -6,7 +6,7 @@ that no match can cross. The test items are the query set, taken in blocks of bo
 against all index blocks. For a window of consecutive item words the shortest postings list is
 expanded to candidate places; the other lists, shifted by their offset in the window, are
 intersected in ascending length. Places that survive are exact phrase matches. Proximity
-matches let a few words differ or shift.
+matches have at least 8 words of a window within 2 words of their place.
 
 No row leaves its block, so nothing is shuffled, and a frequent word is only a longer list
 of one block.
@@ -127,29 +127,34 @@ def intersect(table: np.ndarray, length: np.ndarray, begin: np.ndarray, position
 def nearby(table: np.ndarray, length: np.ndarray, begin: np.ndarray, position: np.ndarray, key: np.ndarray, stride: int, least: int, slop: int):
     """(window, place) where at least `least` words of a window stand within `slop` words of their place.
 
-    A place is tried for each occurrence of the rarest word of the window that the block has.
+    Any width - least + 1 words of the window have one that takes part, so the occurrences of the rarest of them
+    give all places to try.
     """
     size = length[table]
+    width = table.shape[1]
     live = np.flatnonzero((size > 0).sum(axis=1) >= least)
-    lead = np.where(size[live] > 0, size[live], np.iinfo(np.int64).max).argmin(axis=1)
-    rare = table[live, lead]
-    total = np.cumsum(length[rare])
-    lo = 0
-    while lo < len(live):
-        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + EXPAND, "right")))
-        n = length[rare[lo:hi]]
-        w = np.repeat(np.arange(lo, hi), n)
-        at = position[np.repeat(begin[rare[lo:hi]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] - lead[w]
-        met = np.zeros(len(w), np.int32)
-        width = table.shape[1]
-        for j in range(width):
-            want = table[live[w], j] * stride + np.maximum(at + j, slop)
-            met += np.searchsorted(key, want + slop, "right") > np.searchsorted(key, want - slop)
-            # Whoever cannot reach `least` any more goes at once.
-            ok = met + (width - 1 - j) >= least
-            w, at, met = w[ok], at[ok], met[ok]
-        yield live[w], at
-        lo = hi
+    order = np.argsort(size[live], axis=1, kind="stable")
+    for k in range(width - least + 1):
+        lead = order[:, k]
+        rare = table[live, lead]
+        total = np.cumsum(length[rare])
+        lo = 0
+        while lo < len(live):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + EXPAND // 8, "right")))
+            n = length[rare[lo:hi]]
+            w = np.repeat(np.arange(lo, hi), n)
+            at = position[np.repeat(begin[rare[lo:hi]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] - lead[w]
+            shift = np.arange(-slop, slop + 1)
+            w, at = np.repeat(w, len(shift)), (at[:, None] + shift).reshape(-1)
+            met = np.zeros(len(w), np.int32)
+            for j in range(width):
+                want = table[live[w], j] * stride + at + j + 2 * slop + width
+                met += np.searchsorted(key, want + slop, "right") > np.searchsorted(key, want - slop)
+                # Whoever cannot reach `least` any more goes at once.
+                ok = met + (width - 1 - j) >= least
+                w, at, met = w[ok], at[ok], met[ok]
+            yield live[w], at
+            lo = hi
 
 
 def judge(block: dict, windows: Windows, least: int, slop: int) -> tuple[np.ndarray, list[set[str]], list[set[str]]]:
@@ -168,7 +173,7 @@ def judge(block: dict, windows: Windows, least: int, slop: int) -> tuple[np.ndar
     length[at[has]] = lengths[has]
     begin = np.cumsum(length) - length
     position = position[picked]
-    stride = end + 2 * GAP
+    stride = end + 4 * GAP
     key = np.repeat(np.arange(len(vocabulary)), length) * stride + position
     cover = np.zeros(end + GAP, np.int32)
     exact: list[set[int]] = [set() for _ in counts]
@@ -186,8 +191,11 @@ def judge(block: dict, windows: Windows, least: int, slop: int) -> tuple[np.ndar
                 np.add.at(cover, place + table.shape[1], -1)
                 note(exact, w, place, first, items)
             if least and table.shape[1] == WIDTH:
-                for w, place in nearby(table, length, begin, position, key, stride, least, slop):
-                    note(near, w, np.maximum(place, 0), first, items)
+                # Places are moved so that one before the first word is no other term's.
+                moved = key + 2 * slop + WIDTH
+                for w, place in nearby(table, length, begin, position, moved, stride, least, slop):
+                    # No matching word stands behind this point, and the next document starts farther on.
+                    note(near, w, place + WIDTH + slop, first, items)
     name = lambda x: {windows.items[k] for k in x}
     return np.cumsum(cover)[:end] > 0, [name(x) for x in exact], [name(x) for x in near]
 

@@ -108,3 +108,23 @@ def pii_spans(text):
             if ok:
                 out.append((kind, m.start(), m.end()))
     return out
+
+
+def near_items(text, items, width=10, least=8, slop=2):
+    """Items of which some full window stands nearly in the text."""
+    w = words(text)
+    at = {}
+    for k, x in enumerate(w):
+        at.setdefault(x, []).append(k)
+    found = set()
+    for item, said in items:
+        q = words(said)
+        for k in range(len(q) - width + 1):
+            votes = {}
+            for j, x in enumerate(q[k : k + width]):
+                for p in at.get(x, ()):
+                    for s in range(-slop, slop + 1):
+                        votes.setdefault(p - j + s, set()).add(j)
+            if any(len(v) >= least for v in votes.values()):
+                found.add(str(item))
+    return found

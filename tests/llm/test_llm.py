@@ -339,6 +339,17 @@ def test_proximity(spark, docs):
     assert [(r["n_items"], r["n_near"]) for r in rows] == [(0, 1), (0, 1), (0, 0), (1, 0)]
 
 
+def test_proximity_as_by_votes(spark, docs):
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"w{rng.randrange(14)}" for _ in range(n))
+    items = [(k, say(rng.randrange(8, 16))) for k in range(10)]
+    rows = [(k, say(rng.randrange(0, 60))) for k in range(150)] + [(150 + k, " ".join(t.split()[1:])) for k, t in items]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for r in decontam.matches(docs(rows).repartition(3), table).collect():
+        exact = set(r["items"])
+        assert set(r["near_items"]) == brute.near_items(rows[r["doc_id"]][1], items) - exact
+
+
 # 9
 
 
