@@ -2,7 +2,7 @@
 
 DataFrame functions and Spark's FP-growth only. A URL's tokens are its host's labels and trailing
 domains, the words of its path, its query's names and its scheme. Every labelled URL is a transaction of its
-tokens with one item that marks it bad. Mined rules `tokens -> bad` are kept if they reach the
+tokens. Mined rules `tokens -> bad` are kept if they reach the
 confidence and support bounds and no rule on fewer tokens is as confident. A rule is posted under its
 rarest token (inverted index); a URL that has this token is checked for the others.
 
@@ -21,7 +21,6 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BAD = "label:bad"
 MIN_SUPPORT = 0.0005
 MIN_COUNT = 5
 MIN_CONFIDENCE = 0.6
@@ -64,46 +63,53 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(F.concat(*parts))).otherwise(F.array().cast("array<string>"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(RULES_BROADCAST + 1).count() <= RULES_BROADCAST else df
+
+
+def hits(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """rows (their columns and items) with `tokens` of each rule that fits them, by inverted index.
+
+    A rule is posted under its token that the fewest rows have; a row with this token is checked for the others.
+    """
+    entry = rows.withColumn("_t", F.explode("items"))
+    names = rules.select(F.explode("tokens").alias("_t")).distinct()
+    often = entry.select("_t").join(_small(names), "_t", "left_semi").groupBy("_t").count()
+    posted = rules.select("tokens", F.explode("tokens").alias("_t")).join(often, "_t").groupBy("tokens").agg(F.min_by("_t", F.struct("count", "_t")).alias("_t"), F.count("*").alias("_known"))
+    posted = posted.where(F.col("_known") == F.size("tokens")).drop("_known")  # else a token occurs nowhere
+    return entry.join(_small(posted), "_t").where(F.size(F.array_except("tokens", "items")) == 0).drop("_t")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
-    """(tokens, confidence, support) of the kept rules; labelled has `items` and a boolean `bad`."""
+    """(tokens, confidence, support) of the kept rules; labelled has `items` and a boolean `bad`.
+
+    A rule's support counts bad rows only, so its tokens are a frequent set of the bad rows: FP-growth
+    runs over these, and confidence is counted over all rows.
+    """
     from .shared import stored
 
-    labelled = stored(labelled.where(F.size("items") > 0), "transactions")
-    total = labelled.count()
-    empty = labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    if total == 0:
-        return empty
-    baskets = labelled.select(F.when(F.col("bad"), F.array_append("items", BAD)).otherwise(F.col("items")).alias("items"))
-    least = max(min_support, min_count / total)
-    # Only tokens that occur often enough together with the label can be in a rule.
-    useful = labelled.where("bad").select(F.explode("items").alias("t")).groupBy("t").count().where(F.col("count") >= least * total)
-    if useful.isEmpty():
-        return empty
-    kept = F.array_agg("t")
-    names = useful.agg(kept.alias("useful"))  # at most tokens-of-a-URL / least names
-    baskets = baskets.crossJoin(F.broadcast(names)).select(F.array_intersect("items", F.array_append("useful", BAD)).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets.where(F.size("items") > 0))
-    rules = model.associationRules.where((F.col("consequent")[0] == BAD) & (F.size("antecedent") <= MAX_TOKENS))
-    rules = rules.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
-    rules = stored(rules, "rules")
+    labelled = stored(labelled.where(F.size("items") > 0).select("items", "bad"), "transactions")
+    total, n_bad = labelled.agg(F.count("*"), F.count_if("bad")).first()
+    least = max(min_support * total, min_count)
+    if n_bad < least:
+        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(labelled.where("bad").select("items"))
+    found = model.freqItemsets.where((F.size("items") <= MAX_TOKENS) & (F.col("freq") >= least))
+    found = stored(found.select(F.sort_array("items").alias("tokens"), "freq"), "candidates")
+    counts = hits(labelled, found).groupBy("tokens").agg(F.count("*").alias("n"))
+    rules = found.join(counts, "tokens").select("tokens", (F.col("freq") / F.col("n")).alias("confidence"), (F.col("freq") / F.lit(total)).alias("support"))
+    rules = stored(rules.where(F.col("confidence") >= min_confidence), "rules")
     # A rule is pruned if dropping some of its tokens leaves a rule that is as confident.
-    n = F.size("tokens")
-    subsets = rules.where(n > 1).select(F.col("tokens").alias("of"), F.col("confidence").alias("c"), F.explode(F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("tokens"))
-    pairs = subsets.where(F.size("tokens") > 1).select("of", "c", F.explode(F.transform("tokens", lambda t: F.array(t))).alias("tokens"))
-    worse = subsets.unionByName(pairs).join(rules.select("tokens", "confidence"), "tokens").where("confidence >= c").select(F.col("of").alias("tokens")).distinct()
+    subsets = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("of"), F.col("confidence").alias("c"), F.explode(F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("tokens"))
+    singles = subsets.where(F.size("tokens") > 1).select("of", "c", F.explode(F.transform("tokens", lambda t: F.array(t))).alias("tokens"))
+    worse = subsets.unionByName(singles).join(rules.select("tokens", "confidence"), "tokens").where("confidence >= c").select(F.col("of").alias("tokens")).distinct()
     return stored(rules.join(worse, "tokens", "left_anti"), "rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url) of the distinct URLs in urls (url, items) that a mined rule fits."""
-    # A rule is posted under its rarest token; frequencies are those of the rules' own URLs.
-    names = rules.select(F.explode("tokens").alias("t")).distinct()
-    names = F.broadcast(names) if names.limit(RULES_BROADCAST + 1).count() <= RULES_BROADCAST else names
-    entry = urls.select("url", "items", F.explode("items").alias("t"))
-    often = entry.select("t").join(names, "t", "left_semi").groupBy("t").count()
-    posted = rules.select("tokens", F.explode("tokens").alias("t")).join(often, "t").groupBy("tokens").agg(F.min_by("t", F.struct("count", "t")).alias("t"))
-    posted = F.broadcast(posted) if rules.limit(RULES_BROADCAST + 1).count() <= RULES_BROADCAST else posted
-    return entry.join(posted, "t").where(F.size(F.array_except("tokens", "items")) == 0).select("url").distinct()
+    return hits(urls, rules).select("url").distinct()
 
 
 def judge(pages: DataFrame, labels: DataFrame, stated: tuple = STATED) -> DataFrame:
