@@ -39,7 +39,7 @@ def cell_counts(labels: DataFrame, images: DataFrame, grid: int) -> DataFrame:
     def lines(name: str) -> Column:
         return F.transform(axis, lambda g: F.least((g + 1) * (F.col(name).cast("double") / F.lit(float(grid))), F.col(name).cast("double")).cast("int"))
 
-    marked = labels.groupBy("image_id", "x", "y", "class_id").agg(F.count("*").alias("n")).join(F.broadcast(size.withColumn("lx", lines("width")).withColumn("ly", lines("height"))), "image_id")
+    marked = labels.groupBy("image_id", "x", "y", "class_id").agg(F.count("*").alias("n")).join(size.withColumn("lx", lines("width")).withColumn("ly", lines("height")), "image_id")
     cell = lambda at, name: F.size(F.filter(F.col(name), lambda b: b <= F.col(at)))
     out = marked.withColumn("gx", cell("x", "lx")).withColumn("gy", cell("y", "ly")).where((F.col("gx") < grid) & (F.col("gy") < grid))
     return out.groupBy("image_id", "gx", "gy", "class_id").agg(F.sum("n").alias("n"))

@@ -180,7 +180,7 @@ class Tiler:
             if files:
                 found = reader(self.spark, files if suffix == ".geojson" else "{" + ",".join(files) + "}" if len(files) > 1 else files[0])
                 names = self.spark.createDataFrame([(i, geotiff.name_of(p)) for i, p in rows if p.endswith(suffix)], "image_id string, image_name string")
-                out = out.unionByName(found.join(F.broadcast(names), "image_name").drop("image_name"))
+                out = out.unionByName(found.join(names, "image_name").drop("image_name"))
         return out
 
     def prepare(self, pairs: DataFrame, batch: int) -> DataFrame:
@@ -372,8 +372,8 @@ class Tiler:
             return self.spark.createDataFrame([], "image_id string, cell_id string, ratio double")
         ratios = split.options(s.val_ratio)
         if s.val_strategy == "random":
-            rows = [(r, c) for r in ratios for c in split.random_cells(s.grid_size, r, s.val_seed)]
-            chosen = ready.select("image_id").join(F.broadcast(self.spark.createDataFrame(rows, "ratio double, cell_id string")))
+            drawn = F.array(*[F.struct(F.lit(r).alias("ratio"), F.lit(c).alias("cell_id")) for r in ratios for c in split.random_cells(s.grid_size, r, s.val_seed)])
+            chosen = ready.select("image_id", F.explode(drawn).alias("c")).select("image_id", "c.*")
         else:
             target = {r["class_name"]: r["share"] for r in analysis.target_distribution(shares).collect()}  # a row for each class
             chosen = split.validation_cells(cells, target, s.grid_size, ratios, s.class_ids, s.class_balance_weight, s.spatial_weight)
@@ -386,7 +386,7 @@ class Tiler:
         before = {r["split"]: r["n"] for r in manifest.split_counts(self.state.read("patches")).collect()}
         ratio = split.fold(counts, s.val_ratio, tuple(before[k] for k in manifest.SPLITS))
         of = self.spark.createDataFrame(list(ratio.items()) or [], "image_id string, ratio double")
-        return chosen.join(F.broadcast(of), ["image_id", "ratio"])
+        return chosen.join(of, ["image_id", "ratio"])
 
     # Phase 2
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import time
+import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
@@ -50,6 +52,14 @@ def write_bytes(path: str, data: bytes) -> None:
     fs.move(at + ".tmp", at)
 
 
+def shared_folder(spark, name: str) -> str:
+    """A fresh path that all executors see: below spark.checkpoint.dir, else the warehouse; in plain local mode a temporary folder."""
+    named, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not named and master.startswith("local") and not master.startswith("local-cluster"):
+        return tempfile.mkdtemp(prefix="rastermill-")
+    return f"{(named or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/rastermill/{name}-{uuid.uuid4().hex}"
+
+
 def list_files(path: str, suffixes: tuple[str, ...]) -> list[str]:
     """The file itself, or the files of a folder with one of the suffixes, in order."""
     fs, at = resolve(path)
