@@ -10,11 +10,14 @@ similarity. Points arrive in ascending time, so a process stops once it is later
 components: about one hash for each shingle instead of one for each shingle and component.
 
 Candidates. Equal texts become one representative first. BANDS bands of ROWS components are
-grouped; two documents of similarity 0.8 share no band with probability below 1e-5. Members of a
-band's bucket are compared in rounds: a small bucket at once, a large one by pivots (one member
-against all others), until every member outside the pivot's class has been a pivot itself, so no link
-between members of a bucket is lost and no group is expanded into all its pairs while its
-members already stand in one class. Each comparison is exact on the shingle multisets.
+grouped; two documents of similarity 0.8 share no band with probability below 1e-5. A small bucket's members
+are all compared. A large bucket is compared in rounds by pivots (some members against all others) until every
+member outside the first pivot's class has been a pivot itself, so no link between members is lost and a
+group is not expanded into all its pairs while its members already stand in one class. An exact bound keeps hopeless
+pairs from being formed: of the n shingles of x let u be those that at most RARE members of large buckets hold.
+Pairs that share such a rare shingle come from its short list. All others share a = n - u at most, so y
+can only be similar if n_y <= a_x (1 + t) / t - n_x, and the other way round. Each comparison that is made
+is exact on the shingle multisets.
 
 Classes are the connected components of the links; the class id is the least doc_id.
 
@@ -45,6 +48,8 @@ COMPONENTS = BANDS * ROWS
 BATCH_BYTES = 1 << 20
 #: Buckets of at most so many members are compared at once, all pairs; larger ones by pivots.
 SMALL = 8
+#: A shingle that at most so many members of large buckets hold counts as rare.
+RARE = 8
 
 
 def multisets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -110,7 +115,7 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, text key (128 bits) and the band hashes of every document; stored."""
+    """doc_id, text key (128 bits), band hashes and number of shingles of every document; stored."""
 
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
@@ -120,11 +125,11 @@ def described(docs: DataFrame) -> DataFrame:
             view = raw.tobytes()
             keys = [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(offsets, offsets[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(keys, pa.binary()), pa.array([x if n else None for x, n in zip(band.tolist(), total, strict=True)], pa.list_(pa.int64()))],
-                ["doc_id", "key", "bands"],
+                [part.column(0), pa.array(keys, pa.binary()), pa.array([x if n else None for x, n in zip(band.tolist(), total, strict=True)], pa.list_(pa.int64())), pa.array(total, pa.int64())],
+                ["doc_id", "key", "bands", "n"],
             )
 
-    found = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, bands array<long>")
+    found = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, bands array<long>, n long")
     return stored(found, "bands")
 
 
@@ -156,64 +161,139 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def tasks(df: DataFrame, rows: int, each: int) -> int:
+    """Tasks for so many rows: enough for the cluster, and `each` rows a task at most."""
+    return max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // each))
+
+
+EDGES_PER_TASK = 500_000
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, class) of every linked node: least id reached, by alternating large and small stars."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    before = None
+    """(node, class) of every linked node: least id reached, by alternating large and small stars.
+
+    The number of tasks follows the measured number of edges.
+    """
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "edges")
+    n, before = edges.count(), None
     while True:
+        parts = tasks(edges, n, EDGES_PER_TASK)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small, "edges")
+        edges = stored(small.coalesce(parts), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("class"))
-        before = now
+        n, before = now[0], now
+
+
+def rare(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """What texts have in shingles that at most RARE of them hold.
+
+    (doc_id, u): the number of such shingles of each document, and (a, b): the pairs that share some and can
+    reach the similarity, since they share at most the smaller rest besides. A document with several texts has no u.
+    """
+
+    def run(batches):
+        for part in sliced(batches, "text", BATCH_BYTES):
+            ids = np.asarray(part.column(0))
+            raw, offsets = utf8(part.column(1))
+            row, shingle, weight, total = multisets(raw, offsets)
+            order = np.argsort(shingle, kind="stable")
+            row, shingle, weight = row[order], shingle[order], weight[order]
+            head = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1]))) if len(shingle) else np.empty(0, np.int64)
+            held = np.diff(np.append(head, len(shingle)))
+            each = np.repeat(held, held)
+            # A shingle that is frequent here already needs one row only.
+            keep = each <= RARE
+            keep[head] = True
+            c = np.where(each <= RARE, 1, RARE + 1)[keep]
+            row, shingle, weight = row[keep], shingle[keep], weight[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(shingle.astype(np.int64)), pa.array(ids[row], pa.int64()), pa.array(total[row], pa.int64()), pa.array(weight, pa.int64()), pa.array(c, pa.int64())], ["shingle", "doc_id", "n", "w", "c"])
+
+    found = stored(texts.select("doc_id", "text").mapInArrow(run, "shingle long, doc_id long, n long, w long, c long"), "shingles")
+    few = found.groupBy("shingle").agg(F.sum("c").alias("df")).where(F.col("df") <= RARE).select("shingle")
+    held = stored(found.join(few, "shingle"), "rare")
+    several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
+    own = stored(held.groupBy("doc_id").agg(F.sum("w").alias("u")).join(several, "doc_id", "left_anti"), "own")
+    lists = held.groupBy("shingle").agg(F.collect_list(F.struct("doc_id", "n", "w")).alias("x")).where(F.size("x") > 1)  # RARE at most
+    both = lambda x, y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), x["n"].alias("n_a"), y["n"].alias("n_b"), F.least(x["w"], y["w"]).alias("s"))
+    fits = lambda x, y: (y["doc_id"] > x["doc_id"]) & (F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * F.lit(least))
+    pairs = lists.select(F.explode(F.flatten(F.transform("x", lambda x: F.transform(F.filter("x", lambda y: fits(x, y)), lambda y: both(x, y))))).alias("p")).select("p.*")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("s").alias("s"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    of = lambda k: own.select(F.col("doc_id").alias(k), F.col("u").alias("u_" + k))
+    rest = lambda k: F.col("n_" + k) - F.coalesce("u_" + k, F.lit(0))
+    shared = F.least(rest("a"), rest("b")) + F.col("s")
+    pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(shared + 1e-6 >= (F.col("n_a") + F.col("n_b")) * F.lit(least / (1 + least)))
+    return own, pairs.select("a", "b")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id and class_id of every document; documents of one class id are near-duplicates."""
     docs = docs.select("doc_id", "text")
     known = described(docs)
-    rep = known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    rep = stored(rep, "representatives")
-    entry = rep.where("bands IS NOT NULL").select("rep", F.explode("bands").alias("band"))
-    sizes = entry.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
-    member = stored(entry.join(sizes, "band").where("n > 1"), "buckets")
+    rep = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n").alias("n")), "representatives")
+    entry = rep.where("bands IS NOT NULL").select("rep", "n", F.explode("bands").alias("band"))
+    sizes = entry.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    member = stored(entry.join(sizes, "band"), "buckets")
     chosen = member.select(F.col("rep").alias("doc_id")).distinct()
-    # A doc_id may repeat with other texts: the text must be that of the representative's key.
+    # A doc_id may repeat with other texts: each of its texts is compared.
     sets = stored(docs.join(chosen, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).drop("h"), "texts")
-    small = member.where(F.col("n") <= SMALL)
+    small = member.where(F.col("size") <= SMALL)
     grouped = small.groupBy("band").agg(F.sort_array(F.collect_set("rep")).alias("ids"))  # SMALL ids at most
     paired = grouped.select(F.explode(F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
-    star = member.where((F.col("n") > SMALL) & (F.col("rep") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-    links = stored(verified(paired.unionByName(star).distinct(), sets, least), "links")
-    large = member.where(F.col("n") > SMALL).select("band", "rep", "n")
-    done = member.where(F.col("n") > SMALL).select("band", F.col("pivot").alias("rep")).distinct()
-    classed = components(links)
-    width = SMALL
-    while True:
-        # Large buckets with members outside the class of their first pivot that have not been pivots.
-        at = large.join(classed, large["rep"] == classed["node"], "left").select("band", "rep", F.coalesce("class", "rep").alias("class"))
-        first = at.join(done, ["band", "rep"], "left_semi").groupBy("band").agg(F.min(F.struct("rep", "class"))["class"].alias("main"))
-        open_ = stored(at.join(first, "band").where("class <> main").join(done, ["band", "rep"], "left_anti"), "open")
-        if open_.isEmpty():
-            break
-        # Twice as many pivots each round: few rounds, and most buckets are one class after the first.
-        width *= 2
-        pick = open_.withColumn("k", F.row_number().over(Window.partitionBy("band").orderBy("rep"))).where(F.col("k") <= width).select("band", F.col("rep").alias("a"), F.col("class").alias("class_a"))
-        pick = stored(pick, "pivots")
-        pairs = at.join(pick, "band").where("class <> class_a").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        links = links.unionByName(stored(verified(pairs, sets, least), "links"))
-        done = stored(done.unionByName(pick.select("band", F.col("a").alias("rep"))), "done")
-        classed = components(links)
+
+    # Large buckets: the bound, and as first pivot the member with fewest rare shingles.
+    hot = member.where(F.col("size") > SMALL).select("band", "rep", "n")
+    own, close = rare(sets.join(hot.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), least)
+    reach = F.floor((F.col("n") - F.coalesce("u", F.lit(0))) * F.lit((1 + least) / least) + F.lit(1e-6)) - F.col("n")
+    large = hot.join(own, hot["rep"] == own["doc_id"], "left").select("band", "rep", "n", F.coalesce("u", F.lit(0)).alias("u"), reach.alias("reach"))
+    large = stored(large.coalesce(tasks(docs, member.count(), EDGES_PER_TASK)), "large")
+    parts = tasks(docs, large.count(), EDGES_PER_TASK)
+    pivots = stored(large.groupBy("band").agg(F.min_by(F.struct("rep", "n", "reach"), F.struct("u", -F.col("n"), "rep")).alias("p")).select("band", F.col("p.rep").alias("a"), F.col("p.n").alias("n_a"), F.col("p.reach").alias("reach_a")).coalesce(parts), "pivots")
+    able = (F.col("n") <= F.col("reach_a")) & (F.col("n_a") <= F.col("reach"))
+    star = large.join(pivots, "band").where(able & (F.col("a") != F.col("rep"))).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        distinct = stored(pairs.distinct().coalesce(parts), "pairs")
+        return stored(verified(distinct, sets, least), "links")
+
+    classed = components(compared(paired.unionByName(star).unionByName(close)))
+
+    def with_class(rows: DataFrame) -> DataFrame:
+        """(band, rep, n, u, reach, class) with the classes so far."""
+        return rows.join(classed, rows["rep"] == classed["node"], "left").select("band", "rep", "n", "u", "reach", F.coalesce("class", "rep").alias("class"))
+
+    def outside(rows: DataFrame) -> DataFrame:
+        """The members that are not in the class of their bucket's first pivot."""
+        main = pivots.join(classed, pivots["a"] == classed["node"], "left").select("band", F.coalesce("class", "a").alias("main"))
+        return with_class(rows).join(main, "band").where("class <> main")
+
+    # Sizes by steps of 5 %, with the largest reach: who fits none of these has no partner in the bucket.
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(1.05).item()))
+    bins = stored(large.groupBy("band", step.alias("bin")).agg(F.min("n").alias("least_n"), F.max("reach").alias("most_reach"), F.count("*").alias("size")).coalesce(parts), "bins")
+    first = outside(large)
+    alone = (bins["size"] == 1) & (bins["least_n"] == first["n"])  # a step that may hold this member only
+    able_any = (first["band"] == bins["band"]) & (first["reach"] >= bins["least_n"]) & (first["n"] <= bins["most_reach"]) & ~alone
+    left = stored(first.join(bins, able_any, "left_semi").coalesce(parts), "left")
+    width = 2 * SMALL
+    while not left.isEmpty():
+        pick = left.withColumn("k", F.row_number().over(Window.partitionBy("band").orderBy("u", "rep"))).where(F.col("k") <= width)
+        pick = stored(pick.select("band", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("reach").alias("reach_a"), F.col("class").alias("class_a")).coalesce(parts), "picks")
+        pairs = with_class(large).join(pick, "band").where((F.col("class") != F.col("class_a")) & able).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+        links = compared(pairs)
+        if not links.isEmpty():
+            classed = components(links.unionByName(classed.select(F.col("node").alias("a"), F.col("class").alias("b"))))
+        rest = left.join(pick.select("band", F.col("a").alias("rep")), ["band", "rep"], "left_anti").drop("class", "main")
+        left = stored(outside(rest).coalesce(parts), "left")
+        width *= 2  # few rounds, with classes joined in between
     class_of = rep.join(classed, rep["rep"] == classed["node"], "left").select("key", F.coalesce("class", "rep").alias("class_id"))
-    out = known.select("doc_id", "key").join(class_of, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return out
+    return known.select("doc_id", "key").join(class_of, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
