@@ -153,15 +153,22 @@ def revealing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -
     backed = pair.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n")).where(F.col("n") >= support)
     if backed.isEmpty():
         return docs.sparkSession.createDataFrame([], "term string, strength double")
-    both = pair.join(backed.select("entity", "term"), ["entity", "term"], "left_semi").select("entity", "term", "row").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    both = stored(both, "pairs")
+    total = float(docs.count())
     n_entity = seen.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    n_seen = pair.select("term", "row").distinct().groupBy("term").agg(F.count("*").alias("n_seen"))
+    both = pair.join(backed.select("entity", "term"), ["entity", "term"], "left_semi").select("entity", "term", "row").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    ic = F.log2(F.lit(total) / F.col("n_entity"))
+
+    def strength(n_term: str) -> Column:
+        return F.when(ic > 0, F.log2(F.col("n_both") * F.lit(total) / (F.col("n_entity") * F.greatest(n_term, "n_both"))) / ic)
+
+    # A term is in at least as many documents as have it in a context: what is too weak by that need not be counted.
+    both = stored(both.join(n_entity, "entity").join(n_seen, "term").where(strength("n_seen") >= GENERALISE), "pairs")
+    if both.isEmpty():
+        return docs.sparkSession.createDataFrame([], "term string, strength double")
     candidates = _sized(both.select("term").distinct())
     n_term = _words(docs).join(candidates, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    total = docs.count()
-    pmi = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.greatest("n_term", "n_both")))
-    ic = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    scored = both.join(n_entity, "entity").join(n_term, "term").withColumn("strength", F.when(ic > 0, pmi / ic))
+    scored = both.join(n_term, "term").withColumn("strength", strength("n_term"))
     return stored(scored.groupBy("term").agg(F.max("strength").alias("strength")).where(F.col("strength") >= GENERALISE), "terms")
 
 
