@@ -21,7 +21,9 @@ very long texts make one large block; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -43,66 +45,80 @@ BLOOM_BITS, BLOOM_HASHES = 10, 7
 MAGIC = b"RMSSTBL1"
 FOOTER = struct.Struct("<QQQQQQB7x8s")
 #: Distinct words whose ids a Python worker remembers.
-MEMO = 300_000
+MEMO = 600_000
 BATCH_BYTES = 1 << 20
 
 
+def _class(kind: str) -> str:
+    """The Latin-1 characters of a Unicode general category, as a character class's inside."""
+    return "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
+
+
 class WordEncoder:
-    """The ids of a text from a `tokenizers` file, remembered by blank-separated word.
+    """The ids of a text from a `tokenizers` file, remembered by word.
 
-    Only for tokenizers that drop white space before the model sees it and normalise each
-    word alone; then the ids of a text are those of its words in order.
+    For tokenizers that lower-case, drop white space and cut words as CUT says before the model sees them: then
+    the ids of a text are those of its words in order. Texts beyond Latin-1 or with special tokens are cut at
+    blanks only, and the library does the rest.
     """
 
+    LETTERS, NUMBERS, SPACES = _class("L"), _class("N"), r"\t-\r \x85\xa0"
+    CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
+    SIMPLE = re.compile(f"[{LETTERS}]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.type = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.memo: dict[str, bytes] = {}
-
-    def _new(self, words: list[str]) -> None:
-        if len(self.memo) + len(words) > MEMO:
-            self.memo.clear()
-        # The library lower-cases; for ASCII a word and its lower-case form have the same ids, and a
-        # punctuation mark after a letter or digit is a word of its own.
-        cores = []
-        for w in words:
-            low = w.lower() if w.isascii() else w
-            cut = len(low) > 1 and low[-1] in ".,!?;:" and low[-2].isascii() and low[-2].isalnum()
-            cores.append((low[:-1], low[-1]) if cut else (low,))
-        need = list({c for core in cores for c in core if c not in self.memo})
-        for lo in range(0, len(need), 4096):
-            part = need[lo : lo + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.memo[c] = np.array(e.ids, self.type).tobytes()
-        for w, core in zip(words, cores, strict=True):
-            if w not in self.memo:
-                self.memo[w] = b"".join(map(self.memo.__getitem__, core))
+        # Ids that end a word, where the vocabulary marks word ends.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(size, bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        # The cut is the library's own only if it says so on every Latin-1 character between others.
+        probe = "".join(f"aB{chr(c)}9{chr(c)}. " for c in range(256)) + "Don't we'll '' x's"
+        pieces = self.CUT.findall(probe.lower())
+        self.cuts = self._ids([probe])[0] == b"".join(self._ids(pieces))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are letters only: encoded in one go and cut at the ids that end words."""
+        raw = self._ids([" ".join(words)])[0]
+        at = (np.flatnonzero(self.ends[np.frombuffer(raw, self.type)]) + 1) * self.type.itemsize
+        if len(at) != len(words):
+            return self._ids(words)
+        at = [0, *at.tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def _words(self, text: str) -> list[str]:
+        if self.cuts and "<|" not in text:
+            try:
+                text.encode("latin-1")
+                return self.CUT.findall(text.lower())
+            except UnicodeEncodeError:
+                pass
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of self.type."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*words) - self.memo.keys()) if words else []
-        for lo in range(0, len(new), MEMO // 4):
-            self._new(new[lo : lo + MEMO // 4])
-        try:
-            return [b"".join(map(self.memo.__getitem__, w)) for w in words]
-        except KeyError:  # the memo was emptied meanwhile: one text at a time
-            return [self._one(w) for w in words]
-
-    def _one(self, words: list[str]) -> bytes:
-        out = []
-        for lo in range(0, len(words), MEMO // 4):
-            part = words[lo : lo + MEMO // 4]
-            new = list(set(part) - self.memo.keys())
-            if new:
-                self._new(new)
-                new = list(set(part) - self.memo.keys())
-                if new:
-                    self._new(new)
-            out.append(b"".join(map(self.memo.__getitem__, part)))
-        return b"".join(out)
+        words = [self._words(t) for t in texts]
+        distinct = set().union(*words)
+        new = list(distinct - self.memo.keys())
+        simple = list(filter(self.SIMPLE.fullmatch, new)) if self.cuts and self.ends.any() else []
+        for lo in range(0, len(simple), 2048):
+            part = simple[lo : lo + 2048]
+            self.memo.update(zip(part, self._letters(part), strict=True))
+        rest = [w for w in new if w not in self.memo]
+        self.memo.update(zip(rest, self._ids(rest), strict=True))
+        out = [b"".join(map(self.memo.__getitem__, w)) for w in words]
+        if len(self.memo) > MEMO:  # keep what the last batch used
+            self.memo = {w: self.memo[w] for w in distinct}
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
