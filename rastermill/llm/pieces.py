@@ -32,7 +32,7 @@ from .shared import sliced
 
 MARK = "▁"
 #: Distinct words and pairs of pieces that a Python worker remembers.
-MEMO = 300_000
+MEMO = 800_000
 BATCH_BYTES = 1 << 20
 
 
@@ -59,7 +59,7 @@ class Model:
         self.pairs: dict[tuple[str, str], bool] = {}
         # Marks with what follows them; a line break is no piece, so it always stands alone.
         self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if "\n" not in single and not any("\n" in p for p in self.ids) else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Segmentation of a short text by merging: highest score first, then leftmost."""
@@ -128,12 +128,11 @@ class Model:
         """Ids of each text."""
         split = [self.words(t or "") for t in texts]
         distinct = set().union(*split) if split else set()
-        new = distinct - self.memo.keys()
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = distinct
-        self.solve(list(new))
-        return [np.frombuffer(b"".join(map(self.memo.__getitem__, w)), "<u4") for w in split]
+        self.solve(list(distinct - self.memo.keys()))
+        out = [np.frombuffer(b"".join(map(self.memo.__getitem__, w)), "<u4") for w in split]
+        if len(self.memo) > MEMO:  # keep what the last batch used
+            self.memo = {w: self.memo[w] for w in distinct}
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of some ids; runs of byte pieces are decoded together, bad ones become U+FFFD."""
