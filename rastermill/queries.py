@@ -455,6 +455,21 @@ def signed_distance(spark, sf):
     return targets.tile_pixels(tiles, zeros=True).select("image_id", "x", "y", r6("value").alias("value"))
 
 
+# The two queries above take part of the features, as their SQL does; these take all and are tested by brute force.
+
+
+@query()
+def road_centerline_all(spark, sf):
+    tiles = targets.by_image(targets.rect_rings(_feat(spark, sf)), _fimages(spark, sf), "roads_centerline_weight")
+    return targets.tile_pixels(tiles).select("image_id", "x", "y", r6("value").alias("value"))
+
+
+@query()
+def signed_distance_all(spark, sf):
+    tiles = targets.by_image(targets.rect_rings(_feat(spark, sf)), _fimages(spark, sf), "sdf")
+    return targets.tile_pixels(tiles, zeros=True).select("image_id", "x", "y", r6("value").alias("value"))
+
+
 @query(with_ctes("feat", """SELECT feature_id, concat('{"class_name":"', class_name, '","size":"', size, '"}') AS props FROM feat"""))
 def geojson_props(spark, sf):
     props = F.create_map(*[x for c in ("class_name", "size") for x in (F.lit(c), F.col(c).cast("string"))], F.lit("burn_val"), F.lit("1"))
