@@ -134,29 +134,30 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of representatives whose multisets reach the similarity."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    """The pairs (a, b) of representatives of which some texts' multisets reach the similarity."""
+    left = sets.select(F.col("doc_id").alias("a"), F.col("h").alias("h_a"), F.col("text").alias("text_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("h").alias("h_b"), F.col("text").alias("text_b"))
 
     def run(batches):
-        held: dict[int, tuple] = {}
+        held: dict[tuple[int, int], tuple] = {}
         for batch in batches:
             for part in sliced(iter([batch]), "text_b", BATCH_BYTES):
                 side = []
                 if sum(len(v[0]) for v in held.values()) > 1 << 20:
                     held = {}
-                for name, text in (("a", "text_a"), ("b", "text_b")):
-                    ids = part.column(part.schema.get_field_index(name)).to_pylist()
+                for name in ("a", "b"):
+                    # A doc_id may have several texts: the text's hash belongs to the key.
+                    ids = list(zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in (name, "h_" + name)), strict=True))
                     new = {x: k for k, x in enumerate(ids) if x not in held}
                     at = list(new.values())
-                    raw, offsets = utf8(part.column(part.schema.get_field_index(text)).take(pa.array(at, pa.int64())))
+                    raw, offsets = utf8(part.column(part.schema.get_field_index("text_" + name)).take(pa.array(at, pa.int64())))
                     row, shingle, weight, _ = multisets(raw, offsets)
                     cut = np.searchsorted(row, np.arange(len(at) + 1))
                     for i, k in enumerate(at):
                         held[ids[k]] = (shingle[cut[i] : cut[i + 1]], weight[cut[i] : cut[i + 1]])
                     side.append(ids)
                 ok = [similar(held[x], held[y]) >= least for x, y in zip(*side, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(side[0], ok, strict=True) if k], pa.int64()), pa.array([y for y, k in zip(side[1], ok, strict=True) if k], pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([x for (x, _), k in zip(s, ok, strict=True) if k], pa.int64()) for s in side], ["a", "b"])
 
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
@@ -195,13 +196,13 @@ def components(links: DataFrame) -> DataFrame:
 def rare(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """What texts have in shingles that at most RARE of them hold.
 
-    (doc_id, u): the number of such shingles of each document, and (a, b): the pairs that share some and can
-    reach the similarity, since they share at most the smaller rest besides. A document with several texts has no u.
+    (doc_id, u): the number of such shingles of each document, and (a, b): the pairs of which two texts share some and
+    can reach the similarity, since they share at most the smaller rest besides. A document with several texts has no u.
     """
 
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
-            ids = np.asarray(part.column(0))
+            ids, h = np.asarray(part.column(0)), np.asarray(part.column(2))
             raw, offsets = utf8(part.column(1))
             row, shingle, weight, total = multisets(raw, offsets)
             order = np.argsort(shingle, kind="stable")
@@ -214,18 +215,18 @@ def rare(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
             keep[head] = True
             c = np.where(each <= RARE, 1, RARE + 1)[keep]
             row, shingle, weight = row[keep], shingle[keep], weight[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(shingle.astype(np.int64)), pa.array(ids[row], pa.int64()), pa.array(total[row], pa.int64()), pa.array(weight, pa.int64()), pa.array(c, pa.int64())], ["shingle", "doc_id", "n", "w", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(shingle.astype(np.int64)), pa.array(ids[row], pa.int64()), pa.array(h[row], pa.int64()), pa.array(total[row], pa.int64()), pa.array(weight, pa.int64()), pa.array(c, pa.int64())], ["shingle", "doc_id", "h", "n", "w", "c"])
 
-    found = stored(texts.select("doc_id", "text").mapInArrow(run, "shingle long, doc_id long, n long, w long, c long"), "shingles")
+    found = stored(texts.select("doc_id", "text", "h").mapInArrow(run, "shingle long, doc_id long, h long, n long, w long, c long"), "shingles")
     few = found.groupBy("shingle").agg(F.sum("c").alias("df")).where(F.col("df") <= RARE).select("shingle")
     held = stored(found.join(few, "shingle"), "rare")
     several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
     own = stored(held.groupBy("doc_id").agg(F.sum("w").alias("u")).join(several, "doc_id", "left_anti"), "own")
-    lists = held.groupBy("shingle").agg(F.collect_list(F.struct("doc_id", "n", "w")).alias("x")).where(F.size("x") > 1)  # RARE at most
-    both = lambda x, y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), x["n"].alias("n_a"), y["n"].alias("n_b"), F.least(x["w"], y["w"]).alias("s"))
+    lists = held.groupBy("shingle").agg(F.collect_list(F.struct("doc_id", "h", "n", "w")).alias("x")).where(F.size("x") > 1)  # RARE at most
+    both = lambda x, y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), x["h"].alias("h_a"), y["h"].alias("h_b"), x["n"].alias("n_a"), y["n"].alias("n_b"), F.least(x["w"], y["w"]).alias("s"))
     fits = lambda x, y: (y["doc_id"] > x["doc_id"]) & (F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * F.lit(least))
     pairs = lists.select(F.explode(F.flatten(F.transform("x", lambda x: F.transform(F.filter("x", lambda y: fits(x, y)), lambda y: both(x, y))))).alias("p")).select("p.*")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("s").alias("s"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    pairs = pairs.groupBy("a", "b", "h_a", "h_b").agg(F.sum("s").alias("s"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
     of = lambda k: own.select(F.col("doc_id").alias(k), F.col("u").alias("u_" + k))
     rest = lambda k: F.col("n_" + k) - F.coalesce("u_" + k, F.lit(0))
     shared = F.least(rest("a"), rest("b")) + F.col("s")
@@ -243,7 +244,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     member = stored(entry.join(sizes, "band"), "buckets")
     chosen = member.select(F.col("rep").alias("doc_id")).distinct()
     # A doc_id may repeat with other texts: each of its texts is compared.
-    sets = stored(docs.join(chosen, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).drop("h"), "texts")
+    sets = stored(docs.join(chosen, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")), "texts")
     small = member.where(F.col("size") <= SMALL)
     grouped = small.groupBy("band").agg(F.sort_array(F.collect_set("rep")).alias("ids"))  # SMALL ids at most
     paired = grouped.select(F.explode(F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
@@ -289,9 +290,16 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         links = compared(pairs)
         if not links.isEmpty():
             classed = components(links.unionByName(classed.select(F.col("node").alias("a"), F.col("class").alias("b"))))
-        rest = left.join(pick.select("band", F.col("a").alias("rep")), ["band", "rep"], "left_anti").drop("class", "main")
+        rest = left.join(pick.select("band", F.col("a").alias("rep"), F.col("n_a").alias("n")), ["band", "rep", "n"], "left_anti").drop("class", "main")
         left = stored(outside(rest).coalesce(parts), "left")
         width *= 2  # few rounds, with classes joined in between
+    # Different texts of one doc_id join their classes.
+    own_texts = known.select("doc_id", "key").distinct()
+    several = own_texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
+    joined = own_texts.join(several, "doc_id", "left_semi").join(rep.select("key", "rep"), "key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
+    joined = stored(joined, "joined")
+    if not joined.isEmpty():
+        classed = components(joined.unionByName(classed.select(F.col("node").alias("a"), F.col("class").alias("b"))))
     class_of = rep.join(classed, rep["rep"] == classed["node"], "left").select("key", F.coalesce("class", "rep").alias("class_id"))
     return known.select("doc_id", "key").join(class_of, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 

@@ -420,6 +420,23 @@ def test_near_classes(docs):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(want.values())) and kept.where("doc_id IS NULL").count() == 1
 
 
+def test_near_texts_of_one_doc_id(docs):
+    rng = random.Random(8)
+    said = lambda n=60: [f"v{rng.randrange(5000)}" for _ in range(n)]
+    near = lambda t: [*t[:-1], "other"]
+    a, b, c, d = said(), said(90), said(), said()
+    rows = [(5, a), (5, b), (9, near(a)), (8, near(b)), (3, c), (6, c), (6, d), (7, near(d)), (20, said())]
+    for order in (rows, rows[::-1], rng.sample(rows, len(rows))):
+        df = docs([(k, " ".join(t)) for k, t in order]).coalesce(1)
+        out = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(df).collect()}
+        assert out == {5: 5, 9: 5, 8: 5, 3: 3, 6: 3, 7: 3, 20: 20}
+    many = [(k, [*b[:-1], f"x{k}"]) for k in range(30, 50)] + [(60, a), (60, b), (61, near(a))]
+    df = docs([(k, " ".join(t)) for k, t in many])
+    out = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(df).collect()}
+    assert out == {**dict.fromkeys(range(30, 50), 30), 60: 30, 61: 30}
+    assert [r["doc_id"] for r in bagminhash.keep_one(df).collect()] == [30]
+
+
 def test_near_edges(docs):
     df = docs(EDGES)
     out = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(df).collect()}
