@@ -1,7 +1,7 @@
 """URL filters: stated rules first, then rules mined from labelled URLs by FP-growth.
 
 DataFrame functions and Spark's FP-growth only. A URL's tokens are its host's labels and trailing
-domains, the words of its path, its query's names and its scheme. Every labelled URL is a transaction of its
+domains, the words of its path (numbers included), its query's names and values and its scheme. Every labelled URL is a transaction of its
 tokens. Mined rules `tokens -> bad` are kept if they reach the
 confidence and support bounds and no rule on fewer tokens is as confident. A rule is posted under its
 rarest token (inverted index); a URL that has this token is checked for the others.
@@ -34,8 +34,6 @@ STATED = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Longest token combination of a mined rule, with the label: bounds the trees' depth.
-MAX_TOKENS = 3
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -49,15 +47,16 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def tokens(url: Column, host: Column, path: Column) -> Column:
     """Distinct tokens of a URL."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
-    words = F.filter(F.split(path, r"[^\p{L}\p{N}]+"), lambda x: (x != "") & ~x.rlike("^[0-9]+$"))
+    words = F.filter(F.split(path, r"[^\p{L}\p{N}]+"), lambda x: x != "")
     query = F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#]+)="), F.lit(1))
+    values = F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#]+=[^&#]+)"), F.lit(1))
     n = F.size(labels)
     domains = F.when(n >= 2, F.transform(F.sequence(F.lit(2), n), lambda k: F.concat(F.lit("domain:"), F.concat_ws(".", F.slice(labels, n - k + 1, k))))).otherwise(F.array().cast("array<string>"))
     parts = [
         domains,
         F.transform(F.flatten(F.transform(labels, lambda x: F.split(x, "-"))), lambda x: F.concat(F.lit("host:"), x)),
         F.transform(words, lambda x: F.concat(F.lit("path:"), F.lower(x))),
-        F.transform(query, lambda x: F.concat(F.lit("query:"), F.lower(x))),
+        F.transform(F.concat(query, values), lambda x: F.concat(F.lit("query:"), F.lower(x))),
         F.array(F.concat(F.lit("scheme:"), F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)))),
     ]
     return F.when(host != "", F.array_distinct(F.concat(*parts))).otherwise(F.array().cast("array<string>"))
@@ -81,11 +80,11 @@ def hits(rows: DataFrame, rules: DataFrame) -> DataFrame:
     return entry.join(_small(posted), "_t").where(F.size(F.array_except("tokens", "items")) == 0).drop("_t")
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT, max_tokens: int | None = 3) -> DataFrame:
     """(tokens, confidence, support) of the kept rules; labelled has `items` and a boolean `bad`.
 
     A rule's support counts bad rows only, so its tokens are a frequent set of the bad rows: FP-growth
-    runs over these, and confidence is counted over all rows.
+    runs over these, and confidence is counted over all rows. Rules have max_tokens tokens at most, or any number if it is None.
     """
     from .shared import stored
 
@@ -95,16 +94,26 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     if n_bad < least:
         return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
     model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(labelled.where("bad").select("items"))
-    found = model.freqItemsets.where((F.size("items") <= MAX_TOKENS) & (F.col("freq") >= least))
+    found = model.freqItemsets.where(F.col("freq") >= least)
+    if max_tokens is not None:
+        found = found.where(F.size("items") <= max_tokens)
     found = stored(found.select(F.sort_array("items").alias("tokens"), "freq"), "candidates")
     counts = hits(labelled, found).groupBy("tokens").agg(F.count("*").alias("n"))
     rules = found.join(counts, "tokens").select("tokens", (F.col("freq") / F.col("n")).alias("confidence"), (F.col("freq") / F.lit(total)).alias("support"))
     rules = stored(rules.where(F.col("confidence") >= min_confidence), "rules")
-    # A rule is pruned if dropping some of its tokens leaves a rule that is as confident.
-    subsets = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("of"), F.col("confidence").alias("c"), F.explode(F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("tokens"))
-    singles = subsets.where(F.size("tokens") > 1).select("of", "c", F.explode(F.transform("tokens", lambda t: F.array(t))).alias("tokens"))
-    worse = subsets.unionByName(singles).join(rules.select("tokens", "confidence"), "tokens").where("confidence >= c").select(F.col("of").alias("tokens")).distinct()
-    return stored(rules.join(worse, "tokens", "left_anti"), "rules")
+    # A rule is pruned if dropping some of its tokens leaves a rule that is as confident. Every subset of a frequent
+    # set is frequent, so the best confidence below a set comes from the sets with one token less.
+    known = found.join(rules, "tokens", "left").select("tokens", F.coalesce("confidence", F.lit(0.0)).alias("own"))
+    longest = found.agg(F.max(F.size("tokens"))).first()[0] or 0
+    kept = rules.where(F.size("tokens") == 1)
+    best = known.where(F.size("tokens") == 1).select("tokens", F.col("own").alias("best"))
+    for size in range(2, longest + 1):
+        less = known.where(F.size("tokens") == size).select("tokens", "own", F.explode(F.transform("tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("_less"))
+        below = less.join(best.withColumnRenamed("tokens", "_less"), "_less").groupBy("tokens", "own").agg(F.max("best").alias("below"))
+        below = stored(below, "below")
+        kept = kept.unionByName(rules.join(below.where("own > below").select("tokens"), "tokens", "left_semi"))
+        best = below.select("tokens", F.greatest("own", "below").alias("best"))
+    return stored(kept, "rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -121,7 +130,7 @@ def judge(pages: DataFrame, labels: DataFrame, stated: tuple = STATED) -> DataFr
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     items = tokens(F.col("url"), F.col("host"), F.col("path"))
     labelled = split.where("host <> ''").join(known, F.col("page_id") == F.col("doc_id")).select(items.alias("items"), (F.col("quality") == 0).alias("bad"))
-    rules = mine(labelled)
+    rules = mine(labelled, max_tokens=None)
     longest = sorted(stated, key=lambda r: -len(r[1] + r[2]))
     fits = [((F.col("host") == h) | F.endswith(F.col("host"), F.lit("." + h))) & F.startswith(F.col("path"), F.lit(p)) for _, h, p in longest]
     rule = F.coalesce(*[F.when(f, F.lit(h + p)) for f, (_, h, p) in zip(fits, longest, strict=True)], F.lit(None).cast("string"))

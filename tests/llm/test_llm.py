@@ -191,6 +191,43 @@ def test_mined_rules_are_those_of_counting(spark):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
 
 
+def test_mined_rules_of_any_length(spark):
+    from itertools import combinations
+
+    rng = random.Random(6)
+    baskets = [({t for t in "abcdefg" if rng.random() < 0.6}, rng.random() < 0.1) for _ in range(300)]
+    baskets = [(s, bad or set("abcd") <= s) for s, bad in baskets]
+    df = spark.createDataFrame([(sorted(s), b) for s, b in baskets], "items array<string>, bad boolean")
+    got = {tuple(r["tokens"]): r["confidence"] for r in url_rules.mine(df, 0.01, 0.6, 3, max_tokens=None).collect()}
+    full = [b for b in baskets if b[0]]
+    want, seen = {}, {}
+    for size in range(1, 8):
+        for c in combinations("abcdefg", size):
+            hit = [b for s, b in full if set(c) <= s]
+            if sum(hit) >= max(0.01 * len(full), 3) and sum(hit) / len(hit) >= 0.6:
+                seen[c] = sum(hit) / len(hit)
+                if not any(set(w) < set(c) and seen[w] >= seen[c] for w in seen):
+                    want[c] = seen[c]
+    assert ("a", "b", "c", "d") in want
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
+
+
+def test_url_bad_by_four_words_together(spark):
+    rng = random.Random(7)
+    words_of = [[w for w in ("pa", "qa", "ra", "sa") if rng.random() < 0.5] for _ in range(400)]
+    pages = spark.createDataFrame([(k, "http://site.info/" + "/".join(w)) for k, w in enumerate(words_of)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(len(w) < 4)) for k, w in enumerate(words_of)], "doc_id long, quality int")
+    out = {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, labels).collect()}
+    assert all(out[k] == ("block" if len(w) == 4 else "allow") for k, w in enumerate(words_of))
+
+
+def test_numbers_and_query_values_are_tokens(spark):
+    df = spark.createDataFrame([("http://a.com/en/77/x?id=5&k=b",)], "url string")
+    host, path = url_rules.split_url(df["url"])
+    items = df.select(url_rules.tokens(df["url"], host, path).alias("t")).first()["t"]
+    assert {"path:77", "query:id", "query:id=5", "query:k", "query:k=b"} <= set(items)
+
+
 # 5
 
 
