@@ -9,15 +9,17 @@ documents agree in a component with exactly the probability of their weighted Ja
 similarity. Points arrive in ascending time, so a process stops once it is later than all
 components: about one hash for each shingle instead of one for each shingle and component.
 
-Candidates. Equal texts become one representative first. BANDS bands of ROWS components are
-grouped; two documents of similarity 0.8 share no band with probability below 1e-5. A small bucket's members
-are all compared. A large bucket is compared in rounds by pivots (some members against all others) until every
-member outside the first pivot's class has been a pivot itself, so no link between members is lost and a
-group is not expanded into all its pairs while its members already stand in one class. An exact bound keeps hopeless
-pairs from being formed: of the n shingles of x let u be those that at most RARE members of large buckets hold.
+Candidates. Equal texts become one node first. BANDS bands of ROWS components are grouped; two texts of
+similarity 0.8 share no band with probability below 1e-5. Every member of a bucket is compared with the member that
+has fewest rare shingles: the same few nodes in the many buckets of a group, and those nearest to what its members were copied from, so a group
+costs a few pairs for each member. From then on only buckets that still hold several classes count. A small one's members of
+different classes are all compared. In a large one the members outside the main class are compared with all members of
+other classes, in rounds, with classes joined in between; so no link between members is lost. An exact bound
+keeps hopeless pairs from being formed: of the n shingles of x let u be those that at most RARE texts hold.
 Pairs that share such a rare shingle come from its short list. All others share a = n - u at most, so y
-can only be similar if n_y <= a_x (1 + t) / t - n_x, and the other way round. Each comparison that is made
-is exact on the shingle multisets.
+can only be similar if n_y <= a_x (1 + t) / t - n_x, and the other way round. The comparison itself is an
+intersection of whole shingle multisets in the JVM. Members that this bound cannot tell apart and that still are not similar
+cost a pair each, which is the price of losing none.
 
 Classes are the connected components of the links; the class id is the least doc_id.
 
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import fresh, sliced, stored, utf8
+from .shared import drop_stored, fresh, sliced, stored, utf8
 from .words import mix, shingles, word_hashes
 
 SHINGLE = 5
@@ -46,10 +48,11 @@ BANDS = 30
 ROWS = 5
 COMPONENTS = BANDS * ROWS
 BATCH_BYTES = 1 << 20
-#: Buckets of at most so many members are compared at once, all pairs; larger ones by pivots.
+#: Buckets of at most so many members are compared at once, all pairs of different classes; larger ones in rounds.
 SMALL = 8
-#: A shingle that at most so many members of large buckets hold counts as rare.
+#: A shingle that at most so many texts of shared buckets hold counts as rare.
 RARE = 8
+GRAMS_AT_ONCE = 1 << 18
 
 
 def multisets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -106,14 +109,6 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return mix(out + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
 
 
-def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets given as (sorted shingles, multiplicities)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
-    total = a[1].sum() + b[1].sum() - both
-    return float(both / total) if total else 0.0
-
-
 def described(docs: DataFrame) -> DataFrame:
     """doc_id, text key (128 bits), band hashes and number of shingles of every document; stored."""
 
@@ -122,44 +117,48 @@ def described(docs: DataFrame) -> DataFrame:
             raw, offsets = utf8(part.column(1))
             row, shingle, weight, total = multisets(raw, offsets)
             band = bands(signatures(row, shingle, weight, len(total)))
-            view = raw.tobytes()
-            keys = [hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(offsets, offsets[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(keys, pa.binary()), pa.array([x if n else None for x, n in zip(band.tolist(), total, strict=True)], pa.list_(pa.int64())), pa.array(total, pa.int64())],
-                ["doc_id", "key", "bands", "n"],
-            )
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(total) * BANDS + 1, BANDS), pa.int32()), pa.array(band.reshape(-1)), mask=pa.array(total == 0))
+            yield pa.RecordBatch.from_arrays([part.column(0), text_keys(raw, offsets), lists, pa.array(total, pa.int64())], ["doc_id", "key", "bands", "n"])
 
     found = docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id long, key binary, bands array<long>, n long")
     return stored(found, "bands")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of representatives of which some texts' multisets reach the similarity."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("h").alias("h_a"), F.col("text").alias("text_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("h").alias("h_b"), F.col("text").alias("text_b"))
+def text_keys(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    view = raw.tobytes()
+    return pa.array([hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(offsets, offsets[1:], strict=False)], pa.binary())
+
+
+def gram_sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(id, grams) of the texts in chosen (id, key, rep): a multiset as the set of its numbered shingles; stored.
+
+    The k-th occurrence of a shingle is an element of its own, so the overlap of two multisets is the size of an intersection.
+    """
 
     def run(batches):
-        held: dict[tuple[int, int], tuple] = {}
-        for batch in batches:
-            for part in sliced(iter([batch]), "text_b", BATCH_BYTES):
-                side = []
-                if sum(len(v[0]) for v in held.values()) > 1 << 20:
-                    held = {}
-                for name in ("a", "b"):
-                    # A doc_id may have several texts: the text's hash belongs to the key.
-                    ids = list(zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in (name, "h_" + name)), strict=True))
-                    new = {x: k for k, x in enumerate(ids) if x not in held}
-                    at = list(new.values())
-                    raw, offsets = utf8(part.column(part.schema.get_field_index("text_" + name)).take(pa.array(at, pa.int64())))
-                    row, shingle, weight, _ = multisets(raw, offsets)
-                    cut = np.searchsorted(row, np.arange(len(at) + 1))
-                    for i, k in enumerate(at):
-                        held[ids[k]] = (shingle[cut[i] : cut[i + 1]], weight[cut[i] : cut[i + 1]])
-                    side.append(ids)
-                ok = [similar(held[x], held[y]) >= least for x, y in zip(*side, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([x for (x, _), k in zip(s, ok, strict=True) if k], pa.int64()) for s in side], ["a", "b"])
-
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+        for part in sliced(batches, "text", BATCH_BYTES):
+            raw, offsets = utf8(part.column(2))
+            same = np.array([a == b for a, b in zip(text_keys(raw, offsets).to_pylist(), part.column(1).to_pylist(), strict=True)])
+            row, shingle, weight, total = multisets(raw, offsets)
+            at = np.repeat(np.arange(len(row)), weight)
+            number = np.arange(len(at)) - np.repeat(np.cumsum(weight) - weight, weight)
+            gram = np.where(number > 0, mix(shingle[at] + number.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), shingle[at]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(total))), pa.int32()), pa.array(gram))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "grams"]).filter(pa.array(same))
+
+    rows = docs.join(chosen.select("id", "key", F.col("rep").alias("doc_id")), "doc_id")
+    # Rows that repeat a doc_id with equal text are one; of the texts of a doc_id, run takes the one that is meant.
+    texts = rows.groupBy("id", F.xxhash64("text").alias("h")).agg(F.first("key").alias("key"), F.first("text").alias("text"))
+    return stored(texts.select("id", "key", "text").mapInArrow(run, "id long, grams array<long>"), "grams")
+
+
+def similarities(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose multisets reach the similarity; the overlap is counted on whole sets."""
+    left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
+    both = F.size(F.array_intersect("ga", "gb")).alias("s")
+    found = pairs.join(left, "a").join(right, "b").select("a", "b", both, (F.size("ga") + F.size("gb")).alias("n"))
+    return found.where(F.col("s") >= (F.col("n") - F.col("s")) * F.lit(least)).select("a", "b")
 
 
 def tasks(df: DataFrame, rows: int, each: int) -> int:
@@ -186,129 +185,154 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small.coalesce(parts), "edges")
+        last, edges = edges, stored(small.coalesce(parts), "edges")
+        drop_stored(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("class"))
         n, before = now[0], now
 
 
-def rare(texts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """What texts have in shingles that at most RARE of them hold.
-
-    (doc_id, u): the number of such shingles of each document, and (a, b): the pairs of which two texts share some and
-    can reach the similarity, since they share at most the smaller rest besides. A document with several texts has no u.
-    """
+def rare_grams(sets: DataFrame) -> DataFrame:
+    """(gram, id) of the grams that at most RARE of the sets hold; stored."""
 
     def run(batches):
-        for part in sliced(batches, "text", BATCH_BYTES):
-            ids, h = np.asarray(part.column(0)), np.asarray(part.column(2))
-            raw, offsets = utf8(part.column(1))
-            row, shingle, weight, total = multisets(raw, offsets)
-            order = np.argsort(shingle, kind="stable")
-            row, shingle, weight = row[order], shingle[order], weight[order]
-            head = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1]))) if len(shingle) else np.empty(0, np.int64)
-            held = np.diff(np.append(head, len(shingle)))
-            each = np.repeat(held, held)
-            # A shingle that is frequent here already needs one row only.
-            keep = each <= RARE
-            keep[head] = True
-            c = np.where(each <= RARE, 1, RARE + 1)[keep]
-            row, shingle, weight = row[keep], shingle[keep], weight[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(shingle.astype(np.int64)), pa.array(ids[row], pa.int64()), pa.array(h[row], pa.int64()), pa.array(total[row], pa.int64()), pa.array(weight, pa.int64()), pa.array(c, pa.int64())], ["shingle", "doc_id", "h", "n", "w", "c"])
-
-    found = stored(texts.select("doc_id", "text", "h").mapInArrow(run, "shingle long, doc_id long, h long, n long, w long, c long"), "shingles")
-    few = found.groupBy("shingle").agg(F.sum("c").alias("df")).where(F.col("df") <= RARE).select("shingle")
-    held = stored(found.join(few, "shingle"), "rare")
-    several = texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
-    own = stored(held.groupBy("doc_id").agg(F.sum("w").alias("u")).join(several, "doc_id", "left_anti"), "own")
-    lists = held.groupBy("shingle").agg(F.collect_list(F.struct("doc_id", "h", "n", "w")).alias("x")).where(F.size("x") > 1)  # RARE at most
-    both = lambda x, y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b"), x["h"].alias("h_a"), y["h"].alias("h_b"), x["n"].alias("n_a"), y["n"].alias("n_b"), F.least(x["w"], y["w"]).alias("s"))
-    fits = lambda x, y: (y["doc_id"] > x["doc_id"]) & (F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * F.lit(least))
-    pairs = lists.select(F.explode(F.flatten(F.transform("x", lambda x: F.transform(F.filter("x", lambda y: fits(x, y)), lambda y: both(x, y))))).alias("p")).select("p.*")
-    pairs = pairs.groupBy("a", "b", "h_a", "h_b").agg(F.sum("s").alias("s"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
-    of = lambda k: own.select(F.col("doc_id").alias(k), F.col("u").alias("u_" + k))
-    rest = lambda k: F.col("n_" + k) - F.coalesce("u_" + k, F.lit(0))
-    shared = F.least(rest("a"), rest("b")) + F.col("s")
-    pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(shared + 1e-6 >= (F.col("n_a") + F.col("n_b")) * F.lit(least / (1 + least)))
-    return own, pairs.select("a", "b")
+        for batch in batches:
+            column = batch.column(1)
+            ids, ends, gram = np.asarray(batch.column(0)), np.asarray(column.offsets), np.asarray(column.values)
+            step = max(1, len(ids) * GRAMS_AT_ONCE // max(1, ends[-1] - ends[0]))
+            for lo in range(0, len(ids), step):
+                hi = min(len(ids), lo + step)
+                g, row = gram[ends[lo] : ends[hi]], np.repeat(np.arange(lo, hi), np.diff(ends[lo : hi + 1]))
+                order = np.argsort(g, kind="stable")
+                g, row = g[order], row[order]
+                head = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1]))) if len(g) else np.empty(0, np.int64)
+                held = np.diff(np.append(head, len(g)))
+                each = np.repeat(held, held)
+                # A gram that is frequent here already needs one row only.
+                keep = each <= RARE
+                keep[head] = True
+                count = np.where(each <= RARE, 1, RARE + 1)[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(g[keep]), pa.array(ids[row[keep]]), pa.array(count, pa.int64())], ["gram", "id", "c"])
+
+    found = stored(sets.select("id", "grams").mapInArrow(run, "gram long, id long, c long"), "shingles")
+    few = found.groupBy("gram").agg(F.sum("c").alias("df")).where(F.col("df") <= RARE).select("gram")
+    held = stored(found.join(few, "gram", "left_semi").select("gram", "id"), "rare")
+    drop_stored(found)
+    return held
+
+
+def sharing_rare(held: DataFrame, node: DataFrame, least: float) -> DataFrame:
+    """(a, b) that share rare grams and can reach the similarity: they share at most the smaller rest besides."""
+    lists = held.groupBy("gram").agg(F.sort_array(F.collect_list("id")).alias("x")).where(F.size("x") > 1)  # RARE at most
+    both = F.flatten(F.transform("x", lambda x: F.transform(F.filter("x", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    pairs = lists.select(F.explode(both).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("s"))
+    of = lambda k: node.select(F.col("id").alias(k), F.col("n").alias("n_" + k), (F.col("n") - F.col("u")).alias("rest_" + k))
+    pairs = pairs.join(of("a"), "a").join(of("b"), "b")
+    return pairs.where((F.least("rest_a", "rest_b") + F.col("s")) * F.lit((1 + least) / least) + F.lit(1e-6) >= F.col("n_a") + F.col("n_b")).select("a", "b")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id and class_id of every document; documents of one class id are near-duplicates."""
     docs = docs.select("doc_id", "text")
     known = described(docs)
-    rep = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n").alias("n")), "representatives")
-    entry = rep.where("bands IS NOT NULL").select("rep", "n", F.explode("bands").alias("band"))
-    sizes = entry.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    member = stored(entry.join(sizes, "band"), "buckets")
-    chosen = member.select(F.col("rep").alias("doc_id")).distinct()
-    # A doc_id may repeat with other texts: each of its texts is compared.
-    sets = stored(docs.join(chosen, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")), "texts")
-    small = member.where(F.col("size") <= SMALL)
-    grouped = small.groupBy("band").agg(F.sort_array(F.collect_set("rep")).alias("ids"))  # SMALL ids at most
-    paired = grouped.select(F.explode(F.flatten(F.transform("ids", lambda x: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b")
-
-    # Large buckets: the bound, and as first pivot the member with fewest rare shingles.
-    hot = member.where(F.col("size") > SMALL).select("band", "rep", "n")
-    own, close = rare(sets.join(hot.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), least)
-    reach = F.floor((F.col("n") - F.coalesce("u", F.lit(0))) * F.lit((1 + least) / least) + F.lit(1e-6)) - F.col("n")
-    large = hot.join(own, hot["rep"] == own["doc_id"], "left").select("band", "rep", "n", F.coalesce("u", F.lit(0)).alias("u"), reach.alias("reach"))
-    large = stored(large.coalesce(tasks(docs, member.count(), EDGES_PER_TASK)), "large")
-    parts = tasks(docs, large.count(), EDGES_PER_TASK)
-    pivots = stored(large.groupBy("band").agg(F.min_by(F.struct("rep", "n", "reach"), F.struct("u", -F.col("n"), "rep")).alias("p")).select("band", F.col("p.rep").alias("a"), F.col("p.n").alias("n_a"), F.col("p.reach").alias("reach_a")).coalesce(parts), "pivots")
-    able = (F.col("n") <= F.col("reach_a")) & (F.col("n_a") <= F.col("reach"))
-    star = large.join(pivots, "band").where(able & (F.col("a") != F.col("rep"))).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+    # A distinct text is one node, with a number of its own.
+    rep = known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n").alias("n"))
+    rep = stored(rep.withColumn("id", F.monotonically_increasing_id()), "representatives")
+    spread = lambda df, *more: df.select("id", "n", *more, F.explode("bands").alias("band"))
+    fits = lambda x, y: F.least(x, y) >= F.greatest(x, y) * F.lit(least)
+
+    # The nodes that share a bucket, with what the bound needs.
+    entry = spread(rep.where("bands IS NOT NULL"))
+    shared = entry.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
+    node = stored(rep.join(entry.join(shared, "band", "left_semi").select("id").distinct(), "id", "left_semi"), "nodes")
+    sets = gram_sets(docs, node)
+    held = rare_grams(sets)
+    u = F.coalesce("u", F.lit(0))
+    reach = F.floor((F.col("n") - u) * F.lit((1 + least) / least) + F.lit(1e-6)) - F.col("n")
+    node = stored(node.join(held.groupBy("id").agg(F.count("*").alias("u")), "id", "left").withColumn("reach", reach).withColumn("u", u), "nodes")
+
+    def able(x, y):
+        """Whether nodes that share no rare shingle can be similar."""
+        return (x["n"] <= y["reach"]) & (y["n"] <= x["reach"]) & fits(x["n"], y["n"])
 
     def compared(pairs: DataFrame) -> DataFrame:
-        distinct = stored(pairs.distinct().coalesce(parts), "pairs")
-        return stored(verified(distinct, sets, least), "links")
-
-    classed = components(compared(paired.unionByName(star).unionByName(close)))
-
-    def with_class(rows: DataFrame) -> DataFrame:
-        """(band, rep, n, u, reach, class) with the classes so far."""
-        return rows.join(classed, rows["rep"] == classed["node"], "left").select("band", "rep", "n", "u", "reach", F.coalesce("class", "rep").alias("class"))
-
-    def outside(rows: DataFrame) -> DataFrame:
-        """The members that are not in the class of their bucket's first pivot."""
-        main = pivots.join(classed, pivots["a"] == classed["node"], "left").select("band", F.coalesce("class", "a").alias("main"))
-        return with_class(rows).join(main, "band").where("class <> main")
-
-    # Sizes by steps of 5 %, with the largest reach: who fits none of these has no partner in the bucket.
-    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(1.05).item()))
-    bins = stored(large.groupBy("band", step.alias("bin")).agg(F.min("n").alias("least_n"), F.max("reach").alias("most_reach"), F.count("*").alias("size")).coalesce(parts), "bins")
-    first = outside(large)
-    alone = (bins["size"] == 1) & (bins["least_n"] == first["n"])  # a step that may hold this member only
-    able_any = (first["band"] == bins["band"]) & (first["reach"] >= bins["least_n"]) & (first["n"] <= bins["most_reach"]) & ~alone
-    left = stored(first.join(bins, able_any, "left_semi").coalesce(parts), "left")
-    width = 2 * SMALL
-    while not left.isEmpty():
-        pick = left.withColumn("k", F.row_number().over(Window.partitionBy("band").orderBy("u", "rep"))).where(F.col("k") <= width)
-        pick = stored(pick.select("band", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("reach").alias("reach_a"), F.col("class").alias("class_a")).coalesce(parts), "picks")
-        pairs = with_class(large).join(pick, "band").where((F.col("class") != F.col("class_a")) & able).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-        links = compared(pairs)
-        if not links.isEmpty():
-            classed = components(links.unionByName(classed.select(F.col("node").alias("a"), F.col("class").alias("b"))))
-        rest = left.join(pick.select("band", F.col("a").alias("rep"), F.col("n_a").alias("n")), ["band", "rep", "n"], "left_anti").drop("class", "main")
-        left = stored(outside(rest).coalesce(parts), "left")
-        width *= 2  # few rounds, with classes joined in between
+        return stored(similarities(pairs.distinct(), sets, least), "links")
+
+    # Every member of a bucket against the one that has fewest rare shingles.
+    bucket = spread(node, "u", "reach").groupBy("band").agg(F.min(F.struct("u", "id", "n", "reach")).alias("center"))
+    star = spread(node, F.struct("id", "n", "reach").alias("own")).join(bucket, "band").where((F.col("center.id") != F.col("id")) & able(F.col("center"), F.col("own")))
+    star = star.select(F.least("center.id", "id").alias("a"), F.greatest("center.id", "id").alias("b"))
+    classed = components(compared(star.unionByName(sharing_rare(held, node, least))))
+
+    def with_class(df: DataFrame, column: str = "id", name: str = "class") -> DataFrame:
+        to = classed.select(F.col("node").alias("_node"), F.col("class").alias("_class"))
+        return df.join(to, df[column] == to["_node"], "left").withColumn(name, F.coalesce("_class", column)).drop("_node", "_class")
+
+    def merged(links: DataFrame) -> DataFrame:
+        return components(links.unionByName(classed.select(F.col("node").alias("a"), F.col("class").alias("b"))))
+
+    # What is left are buckets with several classes. The class that most members have is the bucket's main class.
+    node = stored(with_class(node), "nodes")
+    share = spread(node, "class").groupBy("band", "class").agg(F.count("*").alias("c"))
+    mixed = share.groupBy("band").agg(F.sum("c").alias("size"), F.max(F.struct("c", "class"))["class"].alias("main"), F.count("*").alias("classes"))
+    mixed = stored(mixed.where("classes > 1").select("band", "size", "main"), "mixed")
+    few = spread(node, "reach", "class").join(mixed.where(F.col("size") <= SMALL).select("band"), "band")
+    lists = few.groupBy("band").agg(F.collect_list(F.struct("id", "n", "reach", "class")).alias("x"))  # SMALL at most
+    other = lambda x, y: (y["id"] > x["id"]) & (y["class"] != x["class"]) & able(x, y)
+    paired = F.flatten(F.transform("x", lambda x: F.transform(F.filter("x", lambda y: other(x, y)), lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))))
+    links = compared(lists.select(F.explode(paired).alias("p")).select("p.a", "p.b"))
+    if not links.isEmpty():
+        classed = merged(links)
+    hot = mixed.where(F.col("size") > SMALL)
+    if not hot.isEmpty():
+        # Outsiders: members of hot buckets that are not in the main class.
+        def refreshed(rows: DataFrame) -> DataFrame:
+            return with_class(with_class(rows.drop("class")), "main", "main").where("class <> main")
+
+        first = refreshed(spread(node, "u", "reach", "class").join(hot.select("band", "main"), "band").where("class <> main"))
+        # Sizes by steps of 5 %, with the largest reach: who fits none of these has no partner in the bucket.
+        step = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(1.05).item()))
+        bins = spread(node, "reach").groupBy("band", step.alias("bin")).agg(F.min("n").alias("least_n"), F.max("reach").alias("most_reach"), F.count("*").alias("size"))
+        bins = bins.join(hot.select("band"), "band", "left_semi")
+        alone = (bins["size"] == 1) & (bins["least_n"] == first["n"])  # a step that may hold this member only
+        partner = (first["band"] == bins["band"]) & (first["reach"] >= bins["least_n"]) & (first["n"] <= bins["most_reach"]) & ~alone
+        left = stored(first.join(bins, partner, "left_semi").select("band", "id", "n", "u", "reach", "class", "main"), "left")
+        width = 2 * SMALL
+        while not left.isEmpty():
+            pick = left.withColumn("k", F.row_number().over(Window.partitionBy("band").orderBy("u", "id"))).where(F.col("k") <= width)
+            pick = stored(pick.select("band", F.struct("id", "n", "reach", "class").alias("pick")), "picks")
+            now = spread(with_class(node.drop("class")), "reach", "class").select("band", F.struct("id", "n", "reach", "class").alias("own"))
+            pairs = now.join(pick, "band").where((F.col("own.class") != F.col("pick.class")) & able(F.col("own"), F.col("pick")))
+            links = compared(pairs.select(F.least("own.id", "pick.id").alias("a"), F.greatest("own.id", "pick.id").alias("b")))
+            if not links.isEmpty():
+                classed = merged(links)
+            rest = left.join(pick.select("band", "pick.id"), ["band", "id"], "left_anti")
+            left = stored(refreshed(rest).select("band", "id", "n", "u", "reach", "class", "main"), "left")
+            width *= 2  # few rounds, with classes joined in between
     # Different texts of one doc_id join their classes.
-    own_texts = known.select("doc_id", "key").distinct()
-    several = own_texts.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
-    joined = own_texts.join(several, "doc_id", "left_semi").join(rep.select("key", "rep"), "key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    joined = stored(joined, "joined")
+    own = known.select("doc_id", "key").distinct().groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1").select("doc_id")
+    own = known.join(own, "doc_id", "left_semi").select("doc_id", "key").distinct().join(rep.select("key", "id"), "key").select("doc_id", "id")
+    least_own = own.groupBy("doc_id").agg(F.min("id").alias("a"))
+    joined = stored(own.join(least_own, "doc_id").where("a <> id").select("a", F.col("id").alias("b")), "joined")
     if not joined.isEmpty():
-        classed = components(joined.unionByName(classed.select(F.col("node").alias("a"), F.col("class").alias("b"))))
-    class_of = rep.join(classed, rep["rep"] == classed["node"], "left").select("key", F.coalesce("class", "rep").alias("class_id"))
-    return known.select("doc_id", "key").join(class_of, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+        classed = merged(joined)
+    found = with_class(rep.select("id", "key", "rep"))
+    name = found.groupBy("class").agg(F.min("rep").alias("class_id"))
+    found = found.join(name, "class").select("key", "class_id")
+    out = known.select("doc_id", "key").join(found, "key")
+    return out.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of docs of each class, that of the least doc_id, with its columns; rows without a doc_id stay."""
+    """One row of docs of each class, that of the least doc_id, with its columns; rows without a doc_id stay.
+
+    Where a doc_id repeats, the row with the least hash of all its columns stays, whatever the order of the rows.
+    """
     name = fresh(docs, "kept")
     found = classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias(name))
     kept = docs.where("doc_id IS NOT NULL").join(found, docs["doc_id"] == found[name], "left_semi")
     if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
+        row = F.struct(*[F.col(c) for c in docs.columns])
+        kept = kept.groupBy("doc_id").agg(F.min_by(row, F.struct(F.xxhash64(*docs.columns), F.to_json(row))).alias("_row")).select("_row.*")
     return kept.unionByName(docs.where("doc_id IS NULL"))
