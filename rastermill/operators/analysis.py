@@ -9,6 +9,8 @@ from ..functions.scalar import CLASS_IDS
 from .windows import grid_cells
 
 PRESENT = 0.01
+#: Images whose grid lines are broadcast; a row has two arrays of grid size.
+BROADCAST_IMAGES = 20_000
 
 
 def _named(class_ids: dict[str, int]) -> Column:
@@ -31,7 +33,9 @@ def image_distribution(labels: DataFrame, class_ids: dict[str, int] = CLASS_IDS)
 def cell_counts(labels: DataFrame, images: DataFrame, grid: int) -> DataFrame:
     """(image_id, gx, gy, class_id, n): pixels by cell bounds; pixels outside all bounds are left out.
 
-    Bounds are cut to whole pixels, so the cell of a column is found by comparing it with the grid's lines.
+    Bounds are cut to whole pixels, so the cell of a column is found by comparing it with the grid's lines. The lines of
+    the images come to the pixels by a broadcast while there are few images (BROADCAST_IMAGES), so that each task counts its
+    own pixels and only counts are shuffled.
     """
     axis = F.sequence(F.lit(0), F.lit(grid - 1))
     size = images.select("image_id", "width", "height")
@@ -39,10 +43,12 @@ def cell_counts(labels: DataFrame, images: DataFrame, grid: int) -> DataFrame:
     def lines(name: str) -> Column:
         return F.transform(axis, lambda g: F.least((g + 1) * (F.col(name).cast("double") / F.lit(float(grid))), F.col(name).cast("double")).cast("int"))
 
-    marked = labels.groupBy("image_id", "x", "y", "class_id").agg(F.count("*").alias("n")).join(size.withColumn("lx", lines("width")).withColumn("ly", lines("height")), "image_id")
+    size = size.withColumn("lx", lines("width")).withColumn("ly", lines("height")).drop("width", "height")
+    few = size.limit(BROADCAST_IMAGES + 1).count() <= BROADCAST_IMAGES
+    marked = labels.join(F.broadcast(size) if few else size, "image_id")
     cell = lambda at, name: F.size(F.filter(F.col(name), lambda b: b <= F.col(at)))
     out = marked.withColumn("gx", cell("x", "lx")).withColumn("gy", cell("y", "ly")).where((F.col("gx") < grid) & (F.col("gy") < grid))
-    return out.groupBy("image_id", "gx", "gy", "class_id").agg(F.sum("n").alias("n"))
+    return out.groupBy("image_id", "gx", "gy", "class_id").agg(F.count("*").alias("n"))
 
 
 def cell_distribution(labels: DataFrame, images: DataFrame, grid: int, class_ids: dict[str, int] = CLASS_IDS) -> DataFrame:

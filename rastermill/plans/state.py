@@ -35,11 +35,15 @@ class State:
         found = fs.get_file_info(pafs.FileSelector(at, allow_not_found=True))
         return sorted(int(f.base_name.split(".")[0]) for f in found if f.base_name.endswith(".json"))
 
+    def tables(self, batch: int) -> list[str]:
+        """The tables of a committed batch."""
+        return json.loads(read_bytes(f"{self.folder}/_commits/{batch}.json"))["tables"]
+
     def read(self, name: str) -> DataFrame:
         """The committed rows of a table."""
         paths = []
         for n in self.commits():
-            if name in json.loads(read_bytes(f"{self.folder}/_commits/{n}.json"))["tables"]:
+            if name in self.tables(n):
                 paths.append(f"{self.folder}/{name}/batch={n}")
         if not paths:
             return self.spark.createDataFrame([], TABLES[name])

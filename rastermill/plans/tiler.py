@@ -22,15 +22,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalar import CLASS_IDS, IGNORE
 from ..operators import analysis, manifest, split, validate, windows
 from ..sources import geotiff, vectors
-from ..sources.files import read_bytes, resolve, retry, write_bytes
-from ..sources.shards import npy
+from ..sources.files import attempt_name, file_key, read_bytes, resolve, retry, write_bytes
+from ..sources.shards import estimated_size, json_length, npy
 from .state import State
 
 HEADERS = "image_id string, path string, width int, height int, bands int, dtype string, nodata double, srid int, transform array<double>, error string"
@@ -66,6 +66,8 @@ class Settings:
     val_strategy: str = "spatial"
     val_seed: int | None = None
     shard_limit: int = manifest.SHARD_LIMIT
+    shard_lanes: int = 1
+    csv_compression: int = geotiff.DEFLATE
 
     def __post_init__(self) -> None:
         if self.output_format not in ("tar", "csv"):
@@ -109,7 +111,8 @@ def read_window(path: str, run: str, x: int, y: int, w: int, h: int, fill: float
 
 def _stac_paths(path: str, wanted: list[str]) -> list[str] | None:
     """The single-band files of a STAC item in the wanted order; null if path is no item."""
-    if not path.endswith(".json"):
+    remote = path.startswith(("http://", "https://"))
+    if not path.endswith(".json") and (not remote or path.lower().endswith((".tif", ".tiff"))):
         return None
     item = json.loads(read_bytes(path))
     if item.get("type") != "Feature":
@@ -125,6 +128,19 @@ def _stac_paths(path: str, wanted: list[str]) -> list[str] | None:
     return [href if "://" in href or href.startswith("/") else f"{base}/{href}" for href in (found[b] for b in wanted)]
 
 
+def _is_void(image: np.ndarray, nodata: float) -> np.ndarray:
+    """Pixels at which every band has the nodata value."""
+    return (np.isnan(image) if np.isnan(nodata) else image == nodata).all(axis=0)
+
+
+def _void_rows(path: str, run: str, nodata: float, col: int, row: int, w: int, h: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, void pixels) of an image's window, by blocks of rows."""
+    for top in range(0, h, geotiff.ROWS):
+        last = min(h, top + geotiff.ROWS)
+        parts = [_band_rows(p, run, row + top, row + last, None) for p in path.split("|")]
+        yield top, _is_void(np.concatenate(parts)[:, :, col : col + w], nodata)
+
+
 class Tiler:
     """create_tiles() makes a dataset from pairs [{image, label, metadata}], retry_failed_images() tries failures again."""
 
@@ -172,15 +188,16 @@ class Tiler:
         return paths.mapInArrow(run, HEADERS)
 
     def _features(self, pairs: DataFrame) -> DataFrame:
-        """Polygons of all vector labels: (image_id, layer, feature_id, rings, props, srid, reason)."""
+        """Polygons of all vector labels: (image_id, layer, feature_id, rings, props, srid, reason, layer_no)."""
         rows = [(r["image_id"], r["label"]) for r in pairs.where(F.col("label").rlike(r"\.(geojson|gpkg)$")).select("image_id", "label").toLocalIterator()]
-        out = self.spark.createDataFrame([], vectors.FEATURE_SCHEMA.replace("image_name", "image_id"))
+        out = self.spark.createDataFrame([], vectors.FEATURE_SCHEMA.replace("image_name string, ", "") + ", image_id string").drop("file")
         for suffix, reader in ((".geojson", vectors.read_geojson), (".gpkg", vectors.read_geopackage)):
             files = sorted({p for _, p in rows if p.endswith(suffix)})
             if files:
                 found = reader(self.spark, files if suffix == ".geojson" else "{" + ",".join(files) + "}" if len(files) > 1 else files[0])
-                names = self.spark.createDataFrame([(i, geotiff.name_of(p)) for i, p in rows if p.endswith(suffix)], "image_id string, image_name string")
-                out = out.unionByName(found.join(names, "image_name").drop("image_name"))
+                # By the whole path: labels of several folders may have one name, and images may share a label.
+                names = self.spark.createDataFrame([(i, file_key(p)) for i, p in rows if p.endswith(suffix)], "image_id string, file string")
+                out = out.unionByName(found.drop("image_name").join(names, "file").drop("file"))
         return out
 
     def prepare(self, pairs: DataFrame, batch: int) -> DataFrame:
@@ -191,7 +208,7 @@ class Tiler:
         labels = self._headers(raster.select("image_id", F.col("label").alias("path")), []).select("image_id", *[F.col(c).alias("lab_" + c) for c in ("path", "width", "height", "dtype", "srid", "transform", "error")])
         features = self._features(pairs)
         good = vectors.usable(features)
-        layer = features.groupBy("image_id").agg(F.count_if(F.col("reason").isNull() & ~F.contains(F.lower("layer"), F.lit("extent"))).alias("n_ok"), F.max("srid").alias("vec_srid"), F.first("reason", ignorenulls=True).alias("vec_reason"))
+        layer = features.groupBy("image_id").agg(F.count_if(F.col("reason").isNull() & (F.col("layer_no") == 0)).alias("n_ok"), F.max("srid").alias("vec_srid"), F.min(F.when(F.col("layer_no") == 0, F.col("reason"))).alias("vec_reason"))
         box = vectors.extents(features.withColumnRenamed("image_id", "image_name")).withColumnRenamed("image_name", "image_id").select("image_id", *[F.col(c).alias("v" + c) for c in ("minx", "miny", "maxx", "maxy")])
         joined = pairs.join(images, "image_id").join(labels, "image_id", "left").join(layer, "image_id", "left").join(box, "image_id", "left")
         kind = F.when(F.col("label").rlike(r"\.tiff?$"), "raster").when(F.col("label").rlike(r"\.(geojson|gpkg)$"), "vector")
@@ -242,10 +259,11 @@ class Tiler:
         """Rasterize the vector labels of ready pairs to files, with erosion and targets, one image a task."""
         s = self.settings
         folder = f"{self.folder}/tmp/labels-{batch}"
-        cols = ["image_id", "srid", "transform", "c_col_off", "c_row_off", "c_w", "c_h"]
+        cols = ["image_id", "path", "nodata", "srid", "transform", "c_col_off", "c_row_off", "c_w", "c_h"]
         todo = ready.where("status = 'ready' AND label_type = 'vector'").select(*cols, F.col("srid").alias("to_srid")).drop("srid")
         fields = [s.attr_field] if isinstance(s.attr_field, str) else s.attr_field
-        rows = features.join(todo, "image_id").withColumn("rings", _projected("rings", "srid", "to_srid")).select("image_id", "feature_id", "rings", "props", "transform", "c_col_off", "c_row_off", "c_w", "c_h", "to_srid")
+        rows = features.join(todo, "image_id").withColumn("rings", _projected("rings", "srid", "to_srid")).select("image_id", "feature_id", "rings", "props", "path", "nodata", "transform", "c_col_off", "c_row_off", "c_w", "c_h", "to_srid")
+        job = uuid.uuid4().hex
         values = {str(v): k + 1 for k, v in enumerate(s.attr_values or [])}
         eroding = {values[str(v)] for v in (s.erosion_classes or []) if str(v) in values}
 
@@ -282,7 +300,12 @@ class Tiler:
                     write_bytes(path, geotiff.write(data, move, srid, nodata))
                     return path
 
-                label = save("label", kernels.rasterize(polygons, burn, w, h).astype(np.uint8), 255)
+                burned = kernels.rasterize(polygons, burn, w, h).astype(np.uint8)
+                if not pd.isna(first["nodata"]):
+                    # A label counts only where the image has data.
+                    for top, void in _void_rows(first["path"], job, first["nodata"], int(first["c_col_off"]), int(first["c_row_off"]), w, h):
+                        burned[top : top + len(void)][void] = 0
+                label = save("label", burned, 255)
                 write_bytes(f"{folder}/{image}/vectors.json", json.dumps(source).encode())
                 made = {}
                 buildings = [p for p, v in zip(polygons, burn, strict=True) if v == s.building_class_val]
@@ -390,6 +413,20 @@ class Tiler:
 
     # Phase 2
 
+    def _note_length(self, item_of: Column, lab_of: Column) -> Column:
+        """Characters of a patch's metadata as JSON, for shard rotation."""
+        s = self.settings
+        ph, pw = s.patch_size
+        empty = {"patch_id": "", "pixel_coordinates": [], "patch_size": [ph, pw], "stride": s.stride, "split": "", "image_dtype": "", "label_dtype": "", "image_name": "", "sensor_type": ""}
+        fixed = len(json.dumps({"patch_metadata": empty})) + 2  # ", " between the coordinates
+        inner = lambda c: json_length(c) - 2
+        digits = F.length(F.col("x").cast("string")) + F.length(F.col("y").cast("string"))
+        key = inner(F.lit(s.prefix)) + inner(F.col("image_id")) + 3 + digits
+        sensor = inner(F.coalesce(F.try_element_at("metadata", F.lit("collection")), F.lit("unknown")))
+        each = lambda a, e: a + json_length(e["key"]) + json_length(e["value"]) + 4
+        more = F.coalesce(F.aggregate(F.map_entries("metadata"), F.lit(0), each), F.lit(0))
+        return fixed + key + digits + F.length("split") + F.length(item_of) + F.length(lab_of) + inner(F.col("image_id")) + sensor + more
+
     def _samples(self, kept: DataFrame, chosen: DataFrame, ready: DataFrame) -> DataFrame:
         """The kept windows with split, shard and everything a task needs to make the patch."""
         s = self.settings
@@ -401,10 +438,10 @@ class Tiler:
         n_bands = F.lit(len(s.band_indices)) if s.band_indices else F.col("bands")
         item = F.regexp_extract("dtype", r"(\d+)$", 1).cast("int") / 8
         lab_item = F.coalesce(F.regexp_extract(F.when(F.col("v_path").isNull(), F.col("lab_dtype")), r"(\d+)$", 1).cast("int") / 8, F.lit(1))
-        size = (n_bands * item * ph * pw + lab_item * ph * pw + 400).cast("long")
+        size = estimated_size(n_bands * item * ph * pw, lab_item * ph * pw, self._note_length(item_of=F.col("dtype"), lab_of=F.when(F.col("v_path").isNull(), F.col("lab_dtype")).otherwise("uint8")))
         order = F.format_string("%010d/%010d/%010d", "pair_ord", "y", "x")
         narrow = out.select("image_id", "x", "y", "split", size.alias("size_bytes"), order.alias("patch_ord"))
-        packed = manifest.pack(narrow, s.shard_limit).select("image_id", "x", "y", "shard_id")
+        packed = manifest.pack(narrow, s.shard_limit, s.shard_lanes).select("image_id", "x", "y", "shard_id")
         start = {r["split"]: r["next_id"] for r in manifest.next_shard(self.state.read("shards")).collect()}
         first = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for p in start.items() for v in p]), F.col("split")), F.lit(0)) if start else F.lit(0)
         return out.withColumn("size_bytes", size).withColumn("patch_ord", order).join(packed, ["image_id", "x", "y"]).withColumn("shard_id", (F.col("shard_id") + first).cast("int"))
@@ -431,7 +468,7 @@ class Tiler:
             lab_limit = (0, 0, r["c_w"], r["c_h"]) if own else (r["l_col_off"], r["l_row_off"], r["c_w"], r["c_h"])
             label = read_window(r["v_path"] if own else r["lab_path"], job, x, y, pw, ph, 0, lab_limit)
             if r["nodata"] is not None:
-                label[0][(image == r["nodata"]).all(axis=0)] = IGNORE
+                label[0][_is_void(image, r["nodata"])] = IGNORE
             arrays = {"image_patch": image, "label_patch": label}
             for name, path in json.loads(r["v_targets"] or "{}").items():
                 arrays[name] = read_window(path, job, x, y, pw, ph, 0, (0, 0, r["c_w"], r["c_h"]))[0]
@@ -445,14 +482,14 @@ class Tiler:
             return key, arrays, {"patch_metadata": note, **meta}, found, place
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            current, sink, archive, rows, fs, at = None, None, None, [], None, ""
+            current, sink, archive, rows, fs, at, own = None, None, None, [], None, "", ""
 
             def close() -> None:
                 if archive is not None:
                     archive.close()
                     rows[-1]["shard_bytes"] = sink.tell()
                     sink.close()
-                    fs.move(at + ".tmp", at)
+                    fs.move(own, at)
 
             for batch in batches:
                 for r in batch.to_pylist():
@@ -464,7 +501,8 @@ class Tiler:
                         current = (r["split"], r["shard_id"])
                         fs, at = resolve(path)
                         fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
-                        sink = fs.open_output_stream(at + ".tmp", compression=None)
+                        own = attempt_name(at)
+                        sink = fs.open_output_stream(own, compression=None)
                         archive = tarfile.open(fileobj=sink, mode="w|")
                     line = None
                     if tar:
@@ -479,7 +517,7 @@ class Tiler:
                         entries = []
                         for k, v in arrays.items():
                             entry = f"{r['split']}/{k.removesuffix('_patch')}/{key}.tif"
-                            write_bytes(f"{folder}/{entry}", geotiff.write(v, place if r["transform"] else None, r["srid"], r["nodata"] if k == "image_patch" else None, geotiff.LZW))
+                            write_bytes(f"{folder}/{entry}", geotiff.write(v, place if r["transform"] else None, r["srid"], r["nodata"] if k == "image_patch" else None, s.csv_compression))
                             entries.append(entry)
                         if found is not None:
                             entries.append(f"{r['split']}/vector/{key}.geojson")
@@ -526,14 +564,14 @@ class Tiler:
             shards = rows.groupBy("split", "shard_id").agg(F.max("path").alias("path"), F.coalesce(F.sum("shard_bytes"), F.sum("size_bytes")).alias("size_bytes"), F.count("*").alias("patch_count"))
             self.state.stage(batch, "shards", shards.join(images, ["split", "shard_id"]).withColumn("status", F.lit("CLOSED")))
             if s.output_format == "csv":
-                rows.select("split", "line").write.mode("append").partitionBy("split").text(f"{self.folder}/index")
+                rows.select("split", "line").write.mode("overwrite").partitionBy("split").text(f"{self.folder}/index/batch={batch}")
             tables += ["class_shares", "val_cells", "patches", "band_stats", "shards"]
         status = F.when(F.col("status") == "ready", "completed").otherwise(F.col("status"))
         log = prepared.select("image_id", status.alias("status"), "reason", F.current_timestamp().alias("ts"), (F.lit(batch) * 1_000_000_000 + F.col("pair_ord")).alias("seq"))
         self.state.stage(batch, "image_log", log)
         self.state.commit(batch, tables)
         counts = {r["status"]: r["n"] for r in prepared.groupBy(status.alias("status")).agg(F.count("*").alias("n")).collect()}
-        reasons = [(r["image_id"], r["status"], r["reason"]) for r in prepared.where("status <> 'ready'").select("image_id", "status", "reason").limit(1000).collect()]
+        reasons = [(r["image_id"], r["status"], r["reason"]) for r in prepared.where("status <> 'ready'").select("image_id", "status", "reason").collect()]  # a short row for each failed pair
         self.export_normalization_stats()
         write_bytes(f"{self.folder}/manifest.json", json.dumps(self.state.snapshot({"prefix": s.prefix}), default=str).encode())
         fs, at = resolve(f"{self.folder}/tmp")
@@ -556,6 +594,10 @@ class Tiler:
         out["still_failed"] = sorted(r["image_id"] for r in manifest.failed_images(self._pairs(), self.state.read("image_log")).select("image_id").collect())
         return out
 
+    def index_paths(self) -> list[str]:
+        """The folders of the CSV index that are committed; a run that died leaves one that the next run replaces."""
+        return [f"{self.folder}/index/batch={n}" for n in self.state.commits() if "patches" in self.state.tables(n)]
+
     def export_normalization_stats(self, path: str | None = None) -> str:
         """Write the bands' mean and deviation as JSON."""
         path = path or f"{self.folder}/{self.settings.prefix}_normalization_stats.json"
@@ -583,9 +625,21 @@ def _projected(rings: str, srid: str, to: str):
     return F.when((F.col(srid) == 4326) & (F.col(to) == 3857), forward).when((F.col(srid) == 3857) & (F.col(to) == 4326), back).otherwise(F.col(rings))
 
 
+#: Pixels of a side of the squares by which an image's features are listed.
+LISTED = 256
+
+
 @lru_cache(maxsize=4)
-def _vectors(path: str) -> list[dict]:
-    return json.loads(read_bytes(path))
+def _vectors(path: str) -> tuple[list[dict], dict[tuple[int, int], list[int]]]:
+    """The features of an image, and by square the numbers of those whose box meets it."""
+    found = json.loads(read_bytes(path))
+    listed: dict[tuple[int, int], list[int]] = {}
+    for k, feature in enumerate(found):
+        minx, miny, maxx, maxy = (int(v // LISTED) for v in feature["box"])
+        for a in range(minx, maxx + 1):
+            for b in range(miny, maxy + 1):
+                listed.setdefault((a, b), []).append(k)
+    return found, listed
 
 
 def _patch_features(path: str, x: int, y: int, w: int, h: int, place: tuple, srid: int | None) -> dict:
@@ -593,7 +647,10 @@ def _patch_features(path: str, x: int, y: int, w: int, h: int, place: tuple, sri
     a, _, c, _, e, f = place
     box = (min(c, c + a * w), min(f, f + e * h), max(c, c + a * w), max(f, f + e * h))
     out = []
-    for feature in _vectors(path):
+    features, listed = _vectors(path)
+    squares = [(i, j) for i in range((x - 1) // LISTED, (x + w) // LISTED + 1) for j in range((y - 1) // LISTED, (y + h) // LISTED + 1)]
+    for k in sorted(set().union(*(listed.get(q, ()) for q in squares))):
+        feature = features[k]
         minx, miny, maxx, maxy = feature["box"]
         if minx > x + w or maxx < x or miny > y + h or maxy < y:
             continue

@@ -337,12 +337,11 @@ def _fimages(spark, sf):
 
 
 def _values(spark, sf) -> list[str]:
-    """The first four class names in order."""
-    rows = _feat(spark, sf).select("class_name").distinct().orderBy("class_name").limit(4).collect()
-    return [r[0] for r in rows]
+    """All class names in order: a fixed number, whatever the number of features."""
+    return [r[0] for r in _feat(spark, sf).select("class_name").distinct().orderBy("class_name").collect()]
 
 
-_VALS = "vals AS (SELECT class_name, CAST(row_number() OVER (ORDER BY class_name) AS INT) burn_val FROM (SELECT DISTINCT class_name FROM feat ORDER BY 1 LIMIT 4))"
+_VALS = "vals AS (SELECT class_name, CAST(row_number() OVER (ORDER BY class_name) AS INT) burn_val FROM (SELECT DISTINCT class_name FROM feat))"
 
 
 @query(with_ctes("feat", f"{_VALS} SELECT feature_id, class_name, burn_val FROM feat JOIN vals USING (class_name)"))
@@ -436,36 +435,19 @@ _FAR = "999999"
 
 @query(with_ctes("feat", f"""{_MASKS}, d AS (SELECT mm.image_id, CAST(a AS BIGINT) x, CAST(b AS BIGINT) y, least(CASE WHEN x0 > 0 THEN a-x0+1 ELSE {_FAR} END, CASE WHEN x1 < {WIDTH - 1} THEN x1-a+1 ELSE {_FAR} END,
     CASE WHEN y0 > 0 THEN b-y0+1 ELSE {_FAR} END, CASE WHEN y1 < {HEIGHT - 1} THEN y1-b+1 ELSE {_FAR} END) d
-    FROM mm, (SELECT unnest(range({WIDTH})) a), (SELECT unnest(range({HEIGHT})) b) WHERE size % 2 = 0 AND a BETWEEN x0 AND x1 AND b BETWEEN y0 AND y1),
+    FROM mm, (SELECT unnest(range({WIDTH})) a), (SELECT unnest(range({HEIGHT})) b) WHERE a BETWEEN x0 AND x1 AND b BETWEEN y0 AND y1),
   w AS (SELECT image_id, x, y, max(d) d FROM d GROUP BY ALL)
   SELECT image_id, x, y, round(d / CAST(max(d) OVER (PARTITION BY image_id) AS DOUBLE), 6) AS value FROM w"""))
 def road_centerline(spark, sf):
-    roads = targets.rect_rings(_feat(spark, sf).where("size % 2 = 0"))
-    tiles = targets.by_image(roads, _fimages(spark, sf), "roads_centerline_weight")
+    tiles = targets.by_image(targets.rect_rings(_feat(spark, sf)), _fimages(spark, sf), "roads_centerline_weight")
     return targets.tile_pixels(tiles).select("image_id", "x", "y", r6("value").alias("value"))
 
 
 @query(with_ctes("feat", f"""{_MASKS}, g AS (SELECT image_id, a x, b y FROM (SELECT DISTINCT image_id FROM mm), (SELECT CAST(unnest(range({WIDTH})) AS BIGINT) a), (SELECT CAST(unnest(range({HEIGHT})) AS BIGINT) b)),
-  inn AS (SELECT g.image_id, g.x, g.y, EXISTS (SELECT 1 FROM mm WHERE mm.image_id = g.image_id AND mm.size % 5 = 0 AND g.x BETWEEN x0 AND x1 AND g.y BETWEEN y0 AND y1) i FROM g),
-  d AS (SELECT p.image_id, p.x, p.y, p.i, sqrt(min((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y))) d FROM inn p JOIN inn q ON q.image_id = p.image_id AND q.i <> p.i GROUP BY ALL)
+  inn AS (SELECT g.image_id, g.x, g.y, EXISTS (SELECT 1 FROM mm WHERE mm.image_id = g.image_id AND g.x BETWEEN x0 AND x1 AND g.y BETWEEN y0 AND y1) i FROM g),
+  d AS (SELECT p.image_id, p.x, p.y, p.i, coalesce(sqrt(min((p.x-q.x)*(p.x-q.x)+(p.y-q.y)*(p.y-q.y))), 0) d FROM inn p LEFT JOIN inn q ON q.image_id = p.image_id AND q.i <> p.i GROUP BY ALL)
   SELECT image_id, x, y, round(CASE WHEN i THEN d ELSE -d END / max(greatest(d, 1)) OVER (PARTITION BY image_id), 6) AS value FROM d"""))
 def signed_distance(spark, sf):
-    some = targets.rect_rings(_feat(spark, sf).where("size % 5 = 0"))
-    tiles = targets.by_image(some, _fimages(spark, sf), "sdf")
-    return targets.tile_pixels(tiles, zeros=True).select("image_id", "x", "y", r6("value").alias("value"))
-
-
-# The two queries above take part of the features, as their SQL does; these take all and are tested by brute force.
-
-
-@query()
-def road_centerline_all(spark, sf):
-    tiles = targets.by_image(targets.rect_rings(_feat(spark, sf)), _fimages(spark, sf), "roads_centerline_weight")
-    return targets.tile_pixels(tiles).select("image_id", "x", "y", r6("value").alias("value"))
-
-
-@query()
-def signed_distance_all(spark, sf):
     tiles = targets.by_image(targets.rect_rings(_feat(spark, sf)), _fimages(spark, sf), "sdf")
     return targets.tile_pixels(tiles, zeros=True).select("image_id", "x", "y", r6("value").alias("value"))
 
@@ -579,10 +561,10 @@ def patch_label_values(spark, sf):
     return _kept(spark, sf).select("image_id", "x", "y").join(values, ["image_id", "x", "y"])
 
 
-# Codecs and whole runs, checked by their own round trip
+# Codecs: what was written comes back
 
 
-@query()
+@query(with_ctes("patch_log", "SELECT concat_ws('_', 'sample', image_id, x, y, size_bytes, shard_id) patch_id, x, y, size_bytes FROM (SELECT DISTINCT split, shard_id, image_id, x, y, size_bytes FROM patch_log)"))
 def tar_roundtrip(spark, sf):
     """Every patch of the log as a sample in a tar shard, read back."""
     from .sources.files import shared_folder
@@ -598,7 +580,7 @@ def tar_roundtrip(spark, sf):
     return back.select("patch_id", "m.*")
 
 
-@query()
+@query("SELECT vec_id, true AS same FROM embeddings")
 def npy_roundtrip(spark, sf):
     """Every embedding as a npy file, read back."""
     from .sources.shards import from_npy, npy
@@ -610,7 +592,7 @@ def npy_roundtrip(spark, sf):
     return spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").mapInPandas(run, "vec_id long, same boolean")
 
 
-@query()
+@query(with_ctes("px1", "SELECT image_id, 64 AS width, 125 AS height, 3857 AS srid, true AS same FROM px1 GROUP BY 1"))
 def geotiff_roundtrip(spark, sf):
     """Every virtual image as a GeoTIFF, read back; the sum and number of its pixels."""
     import numpy as np

@@ -11,12 +11,7 @@ def index_line(image: Column, label: Column, target_paths: Column, vector: Colum
     return F.concat_ws(";", image, label, target_paths, vector)
 
 
-def write_index(lines: DataFrame, path: str) -> None:
-    """Append `line` of each split below path/<split>."""
-    lines.select("split", "line").write.mode("append").partitionBy("split").text(path)
-
-
-def read_index(spark: SparkSession, path: str) -> DataFrame:
+def read_index(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(line's parts) image, label, targets and vector of ragged lines; a last .geojson is the vector."""
     parts = F.split("value", ";")
     rest = F.slice(parts, 3, F.greatest(F.size(parts) - 2, F.lit(0)))

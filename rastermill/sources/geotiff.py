@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .files import list_files, read_bytes, resolve
+from .files import list_files, open_input, retry
 
 ROWS = 512
 # TIFF tags, their value types, and GDAL's.
@@ -66,12 +66,14 @@ class Ranges:
     def __init__(self, source: bytes | str):
         self.data = source if isinstance(source, bytes) else None
         if self.data is None:
-            fs, at = resolve(source)
-            self.file = fs.open_input_file(at)
+            self.file = retry(lambda: open_input(source))
 
     def read(self, at: int, size: int) -> bytes:
         if self.data is not None:
             return self.data[at : at + size]
+        return retry(lambda: self._get(at, size))
+
+    def _get(self, at: int, size: int) -> bytes:
         self.file.seek(at)
         return self.file.read(size)
 

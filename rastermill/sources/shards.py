@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import resolve
+from .files import attempt_name, resolve
 
 
 def npy(x: np.ndarray) -> bytes:
@@ -40,9 +40,18 @@ def decode_array(text: str) -> np.ndarray:
     return np.array(found["data"], found["dtype"]).reshape(found["shape"])
 
 
-def estimated_size(image_bytes: Column, label_bytes: Column, metadata: Column) -> Column:
+def json_length(text: Column) -> Column:
+    """Characters of a string as ASCII JSON, quotes included."""
+    count = lambda chars: F.length(F.regexp_replace(text, chars, ""))
+    short = count(r'[^"\\\n\r\t\x08\f]')  # two characters each
+    long = count(r"[ -~\n\r\t\x08\f]")  # six each, and six more beyond the first plane
+    beyond = count(r"[\x{0}-\x{FFFF}]")
+    return F.length(text) + short + 5 * long + 6 * beyond + 2
+
+
+def estimated_size(image_bytes: Column, label_bytes: Column, metadata_length: Column) -> Column:
     """Bytes by which a sample counts for shard rotation: arrays and metadata, without targets and vectors."""
-    return (image_bytes + label_bytes + F.length(F.encode(metadata, "UTF-8"))).cast("long")
+    return (image_bytes + label_bytes + metadata_length).cast("long")
 
 
 WRITTEN = "split string, shard_id int, path string, size_bytes long, patch_count long"
@@ -57,13 +66,13 @@ def write_shards(samples: DataFrame, folder: str) -> DataFrame:
     dealt = samples.select("split", "shard_id", "file", "patch_ord", "patch_id", "members").repartition("split", "shard_id").sortWithinPartitions("split", "shard_id", "patch_ord")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, tar, sink, done, fs, at = None, None, None, [], None, ""
+        key, tar, sink, done, fs, at, own = None, None, None, [], None, "", ""
 
         def close() -> None:
             tar.close()
             size = sink.tell()
             sink.close()
-            fs.move(at + ".tmp", at)
+            fs.move(own, at)
             done[-1][3] = size
 
         for batch in batches:
@@ -75,7 +84,8 @@ def write_shards(samples: DataFrame, folder: str) -> DataFrame:
                     path = f"{folder}/{split}/{name}"
                     fs, at = resolve(path)
                     fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
-                    sink = fs.open_output_stream(at + ".tmp", compression=None)
+                    own = attempt_name(at)
+                    sink = fs.open_output_stream(own, compression=None)
                     tar = tarfile.open(fileobj=sink, mode="w|")
                     done.append([split, shard, path, 0, 0])
                 for member, data in sorted(members):

@@ -18,12 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.kernels import area, self_intersects
+from .files import file_key
 from .geotiff import name_of
 
-FEATURE_SCHEMA = "image_name string, layer string, feature_id long, rings array<array<array<double>>>, props map<string,string>, srid int, reason string"
+FEATURE_SCHEMA = "image_name string, layer string, feature_id long, rings array<array<array<double>>>, props map<string,string>, srid int, reason string, file string, layer_no int"
+#: A layer whose name holds this gives the valid extent.
+EXTENT = "extent"
 _RINGS = pa.list_(pa.list_(pa.list_(pa.float64())))
-_TYPES = [pa.string(), pa.string(), pa.int64(), _RINGS, pa.map_(pa.string(), pa.string()), pa.int32(), pa.string()]
-_NAMES = ["image_name", "layer", "feature_id", "rings", "props", "srid", "reason"]
+_TYPES = [pa.string(), pa.string(), pa.int64(), _RINGS, pa.map_(pa.string(), pa.string()), pa.int32(), pa.string(), pa.string(), pa.int32()]
+_NAMES = ["image_name", "layer", "feature_id", "rings", "props", "srid", "reason", "file", "layer_no"]
 
 
 def wkb_polygons(data: bytes) -> list[list[list[list[float]]]]:
@@ -88,8 +91,8 @@ def problem(rings: list) -> str | None:
     return "empty polygon" if area(pts) == 0 else None
 
 
-def _rows(name: str, layer: str, first: int, polygons: list, props: dict, srid: int | None) -> list[tuple]:
-    return [(name, layer, first + k, rings, list(props.items()), srid, problem(rings)) for k, rings in enumerate(polygons)]
+def _rows(file: str, layer: str, number: int | None, first: int, polygons: list, props: dict, srid: int | None) -> list[tuple]:
+    return [(name_of(file), layer, first + k, rings, list(props.items()), srid, problem(rings), file_key(file), number) for k, rings in enumerate(polygons)]
 
 
 def _emit(rows: list[tuple]) -> pa.RecordBatch:
@@ -106,15 +109,17 @@ def read_geopackage(spark: SparkSession, path: str) -> DataFrame:
                     copy.write(content)
                     copy.flush()
                     db = sqlite3.connect(f"file:{copy.name}?mode=ro", uri=True)
-                    rows, number = [], 0
+                    rows, number, labels = [], 0, 0
                     for layer, column in db.execute("SELECT table_name, column_name FROM gpkg_geometry_columns ORDER BY rowid").fetchall():
+                        layer_no = None if EXTENT in layer.lower() else labels
+                        labels += layer_no is not None
                         cursor = db.execute(f'SELECT * FROM "{layer}"')
                         names = [c[0] for c in cursor.description]
                         for values in cursor:
                             record = dict(zip(names, values, strict=True))
                             srid, polygons = geopackage_geometry(record.pop(column))
                             props = {k: None if v is None else str(v) for k, v in record.items()}
-                            rows += _rows(name_of(file), layer, number, polygons, props, srid)
+                            rows += _rows(file, layer, layer_no, number, polygons, props, srid)
                             number += len(polygons)
                             if len(rows) >= 4096:
                                 yield _emit(rows)
@@ -160,13 +165,13 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
                 crs = str(((found.get("crs") or {}).get("properties") or {}).get("name") or "")
                 code = crs.replace("::", ":").rsplit(":", 1)[-1]
                 srid = int(code) if code.isdigit() else 4326
-                rows, number = [], 0
+                rows, number, layer = [], 0, str(found.get("name") or "labels")
                 for feature in found.get("features") or []:
                     g = feature.get("geometry") or {}
                     polygons = {"Polygon": lambda g: [g["coordinates"]], "MultiPolygon": lambda g: g["coordinates"]}.get(g.get("type"), lambda g: [])(g)
                     polygons = [[[list(map(float, p[:2])) for p in ring] for ring in rings] for rings in polygons if rings and rings[0]]
                     props = {k: None if v is None else v if isinstance(v, str) else json.dumps(v) for k, v in (feature.get("properties") or {}).items()}
-                    rows += _rows(name_of(file), str(found.get("name") or "labels"), number, polygons, props, srid)
+                    rows += _rows(file, layer, None if EXTENT in layer.lower() else 0, number, polygons, props, srid)
                     number += len(polygons)
                 if rows:
                     yield _emit(rows)
@@ -185,15 +190,19 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def usable(features: DataFrame) -> DataFrame:
-    """The features of label layers that can be used; `reason` of the others says why not."""
-    return features.where("reason IS NULL AND NOT contains(lower(layer), 'extent')")
+    """The features of the label layer that can be used; `reason` of the others says why not.
+
+    The label layer is a file's first one whose name does not hold "extent"; later ones are not read as labels.
+    """
+    return features.where("reason IS NULL AND layer_no = 0")
 
 
 def extents(features: DataFrame) -> DataFrame:
-    """(image_name, minx, miny, maxx, maxy): bounds of the extent layer, else of all features."""
+    """(image_name, minx, miny, maxx, maxy): bounds of the extent layer, else of the label layer's features."""
+    features = features.where("layer_no IS NULL OR layer_no = 0")
     pts = F.flatten(F.transform("rings", lambda r: r))
     axis = lambda k: F.transform(pts, lambda p: p[k])
-    is_extent = F.contains(F.lower("layer"), F.lit("extent"))
+    is_extent = F.col("layer_no").isNull()
     box = features.select("image_name", is_extent.alias("x"), F.array_min(axis(0)).alias("a"), F.array_min(axis(1)).alias("b"), F.array_max(axis(0)).alias("c"), F.array_max(axis(1)).alias("d"))
     pick = lambda f, k: F.coalesce(f(F.when(F.col("x"), F.col(k))), f(F.col(k)))
     return box.groupBy("image_name").agg(pick(F.min, "a").alias("minx"), pick(F.min, "b").alias("miny"), pick(F.max, "c").alias("maxx"), pick(F.max, "d").alias("maxy"))

@@ -101,7 +101,7 @@ def test_csv_run(spark, inputs):
     folder, pairs = inputs
     tiler = Tiler(spark, pairs[:1] + pairs[3:4], (32, 32), output_dir=str(folder / "out"), prefix="c", output_format="csv", val_strategy="random", val_seed=3, **SETTINGS)
     assert tiler.create_tiles()["successful"] == 2
-    lines = read_index(spark, str(folder / "out/c/index")).collect()
+    lines = read_index(spark, tiler.index_paths()).collect()
     assert len(lines) == tiler.state.read("patches").count()
     head, data = geotiff.read(str(folder / "out/c" / lines[0]["image"]))
     assert data.shape == (4, 32, 32) and head.srid == 32618
