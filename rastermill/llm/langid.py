@@ -5,8 +5,9 @@ batch of texts is scored in numpy as a sparse matrix product: each n-gram is one
 row, gathered from the matrix and summed per document.
 
 Cases: null text or text without a letter gives ``und`` with score 0; ties go to the first
-language in sorted order; repeated rows get equal results; without training rows every text
-is ``und``; an empty table gives an empty result; other columns are ignored.
+language in sorted order; repeated rows get equal results; very long texts are scored whole, in
+slices; without training rows every text is ``und``; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import sliced
+from .shared import sliced, stored
 
 BUCKETS = 1 << 16
 #: Bound of the training sample: documents of each language. Beyond it a hash of doc_id chooses.
 MAX_DOCS_PER_LANG = 2000
-#: Languages kept at most, the most frequent first; this bounds the matrix at 64 MB.
-MAX_LANGS = 256
+#: Languages of one block of the matrix (16 MB); all languages are learned, block by block.
+BLOCK_LANGS = 64
+#: Log-probabilities gathered at once, so that a very long text needs no more memory than a short one.
+ENTRIES = 1 << 21
 BATCH_BYTES = 1 << 20
 _ALPHA: list[np.ndarray] = []
 
@@ -56,14 +59,16 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return ids, bounds[:-1], np.diff(bounds)
 
 
-def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-probability matrix (buckets + 1 prior row, languages) of labelled docs."""
+def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> tuple[list[str], list[np.ndarray]]:
+    """Languages and, for each block of BLOCK_LANGS of them, the log-probabilities (buckets + 1 prior row, languages).
+
+    Priors come from all labelled rows. What reaches the driver grows with the languages, not with the rows.
+    """
     docs = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    totals = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    sizes = {r["lang"]: r["count"] for r in totals}
+    sizes = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if not langs:
-        return [], np.zeros((BUCKETS + 1, 0), np.float32)
+        return [], []
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, max_docs_per_lang / sizes[k]))])
     index = F.create_map(*[F.lit(x) for i, k in enumerate(langs) for x in (k, i)])
     chosen = docs.where(
@@ -71,41 +76,62 @@ def fit(docs: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> tuple[li
     ).select("text", F.element_at(index, F.col("lang")).alias("k"))
 
     def count(batches):
-        table = np.zeros((len(langs), BUCKETS), np.int64)
         for part in sliced(batches, "text", BATCH_BYTES):
-            ids, first, n = ngrams(part.column(0).to_pylist())
-            k = np.repeat(np.asarray(part.column(1)), n)
-            np.add.at(table.reshape(-1), (ids + (k * BUCKETS)[:, None]).reshape(-1), 1)
-        k, bucket = np.nonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(bucket, pa.int32()), pa.array(table[k, bucket])], ["k", "bucket", "n"])
-
-    rows = chosen.mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((BUCKETS, len(langs)))
-    counts[rows["bucket"], rows["k"]] = rows["n"]
-    seen = (counts.sum(axis=1) > 0).sum()
-    matrix = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * max(seen, 1)))
-    used = np.array([min(sizes[k], max_docs_per_lang) for k in langs], float)
-    return langs, np.vstack([matrix, np.log(used / used.sum())]).astype(np.float32)
-
-
-def score(texts: list[str | None], langs: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The likeliest language of each text and its posterior probability."""
-    ids, first, n = ngrams(texts)
-    out = np.zeros((len(texts), len(langs)))
+            ids, _, n = ngrams(part.column(0).to_pylist())
+            k = np.repeat(np.asarray(part.column(1)).astype(np.int64), n)
+            entry, times = np.unique((ids + (k * BUCKETS)[:, None]).reshape(-1), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((entry // BUCKETS).astype(np.int32)), pa.array((entry % BUCKETS).astype(np.int32)), pa.array(times.astype(np.int64))], ["k", "bucket", "n"])
+
+    counted = stored(chosen.mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n")), "ngrams")
+    seen = counted.select("bucket").distinct().count()  # at most BUCKETS
+    total = sum(sizes.values())
+    blocks = []
+    for lo in range(0, len(langs), BLOCK_LANGS):
+        hi = min(len(langs), lo + BLOCK_LANGS)
+        rows = counted.where((F.col("k") >= lo) & (F.col("k") < hi)).toPandas()
+        counts = np.zeros((BUCKETS, hi - lo))
+        counts[rows["bucket"], rows["k"] - lo] = rows["n"]
+        matrix = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * max(seen, 1)))
+        prior = np.log(np.array([sizes[k] for k in langs[lo:hi]], float) / total)
+        blocks.append(np.vstack([matrix, prior]).astype(np.float32))
+    return langs, blocks
+
+
+def sums(ids: np.ndarray, n: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """(texts, languages) sums of the log-probabilities of each text's n-grams, by slices of bounded size."""
+    out = np.zeros((len(n), matrix.shape[1]))
+    row = np.repeat(np.arange(len(n)), n)
+    step = max(1, ENTRIES // max(1, matrix.shape[1]))
+    for lo in range(0, len(row), step):
+        part, of = ids[lo : lo + step], row[lo : lo + step]
+        entry = matrix[part[:, 0]]
+        entry += matrix[part[:, 1]]
+        entry += matrix[part[:, 2]]
+        head = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        out[of[head]] += np.add.reduceat(entry, head, axis=0, dtype=np.float64)
+    return out
+
+
+def score(texts: list[str | None], langs: list[str], matrix: np.ndarray | list[np.ndarray]) -> tuple[list[str], np.ndarray]:
+    """The likeliest language of each text and its posterior probability, to 9 places; blocks of languages one after another."""
+    blocks = matrix if isinstance(matrix, list) else [matrix]
+    ids, _, n = ngrams(texts)
     has = n > 0
-    if len(langs) and has.any():
-        entry = matrix[ids[:, 0]] + matrix[ids[:, 1]] + matrix[ids[:, 2]]
-        out[has] = np.add.reduceat(entry, first[has], axis=0, dtype=np.float64)
     if not len(langs):
         return ["und"] * len(texts), np.zeros(len(texts))
-    out += matrix[BUCKETS]
-    best = out.argmax(axis=1)
-    top = out[np.arange(len(texts)), best]
-    p = 1.0 / np.exp(out - top[:, None]).sum(axis=1)
-    return [langs[b] if h else "und" for b, h in zip(best, has, strict=True)], np.where(has, p, 0.0)
-
-
-def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
+    best, top, mass, first = np.zeros(len(texts), int), np.full(len(texts), -np.inf), np.zeros(len(texts)), 0
+    for block in blocks:
+        out = sums(ids, n, block) + block[BUCKETS]
+        k = out.argmax(axis=1)
+        high = out[np.arange(len(texts)), k]
+        new = np.maximum(top, high)
+        mass = mass * np.exp(top - new) + np.exp(out - new[:, None]).sum(axis=1)
+        best = np.where(high > top, first + k, best)
+        top, first = new, first + block.shape[1]
+    return [langs[b] if h else "und" for b, h in zip(best, has, strict=True)], np.where(has, np.round(1.0 / mass, 9), 0.0)
+
+
+def predict(docs: DataFrame, langs: list[str], matrix: list[np.ndarray]) -> DataFrame:
     """doc_id, lang_pred and score of every row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast((langs, matrix))
 
