@@ -11,7 +11,8 @@ matches have at least 8 words of a window within 2 words of their place.
 No row leaves its block, so nothing is shuffled, and a frequent word is only a longer list
 of one block.
 
-Cases: null or wordless text has no words and no hit; an item of fewer than `width` words is one
+Cases: null or wordless text has no words and no hit; a very long text is a block of its own; places that
+tie are all reported; an item of fewer than `width` words is one
 window; equal items share their windows and are all reported; repeated rows are judged alike;
 an empty table of items leaves everything clean; a null item_id is reported as the empty
 string; other columns are ignored.
@@ -19,12 +20,14 @@ string; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, sliced, stored, utf8
+from .shared import drop_stored, fresh, sliced, stored, utf8
 from .words import word_hashes
 
 WIDTH = 10
@@ -32,8 +35,6 @@ GAP = 64
 BLOCK_BYTES = 4 << 20
 #: Words of test items handled in one pass over the index, and broadcast with it (about 120 MB at most).
 QUERY_WORDS = 1_000_000
-#: While the items have fewer distinct words than this, only their postings are stored.
-VOCABULARY_BOUND = 4_000_000
 EXPAND = 1 << 21
 
 
@@ -59,14 +60,10 @@ class Windows:
             self.groups.append((table, np.concatenate([[0], np.cumsum([len(x) for x in of])]), np.concatenate(of)))
 
 
-def index_block(doc_ids: pa.Array, raw: np.ndarray, offsets: np.ndarray, keep: np.ndarray | None) -> dict:
+def index_block(doc_ids: pa.Array, raw: np.ndarray, offsets: np.ndarray) -> dict:
     """The postings of some documents: terms in ascending order, the length of each list, all positions."""
     words, counts = word_hashes(raw, offsets)
     place = np.arange(len(words)) + np.repeat(np.arange(len(counts)) * GAP, counts)
-    if keep is not None:
-        at = np.searchsorted(keep, words)
-        has = (at < len(keep)) & (keep[np.minimum(at, max(0, len(keep) - 1))] == words) if len(keep) else np.zeros(len(words), bool)
-        words, place = words[has], place[has]
     order = np.argsort(words, kind="stable")
     words = words[order]
     head = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))) if len(words) else np.empty(0, np.int64)
@@ -83,14 +80,13 @@ def index_block(doc_ids: pa.Array, raw: np.ndarray, offsets: np.ndarray, keep: n
 INDEX_SCHEMA = "doc_ids array<long>, n_words array<int>, terms binary, lengths binary, positions binary, wide boolean"
 
 
-def build_index(docs: DataFrame, keep: np.ndarray | None = None) -> DataFrame:
-    """The stored index of (doc_id, text) rows; with keep, only these sorted term hashes have postings."""
-    shared = docs.sparkSession.sparkContext.broadcast(keep)
+def build_index(docs: DataFrame) -> DataFrame:
+    """The stored index of (doc_id, text) rows: the postings of every word."""
 
     def run(batches):
         for part in sliced(batches, "text", BLOCK_BYTES):
             raw, offsets = utf8(part.column(1))
-            block = index_block(part.column(0), raw, offsets, shared.value)
+            block = index_block(part.column(0), raw, offsets)
             yield pa.RecordBatch.from_pydict({k: pa.array([v], type=t) for (k, v), t in zip(block.items(), _TYPES, strict=True)})
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, INDEX_SCHEMA), "postings")
@@ -241,35 +237,42 @@ def lookup(index: DataFrame, windows: Windows, least: int, slop: int, last: bool
     return index.mapInArrow(run, RESULT_SCHEMA if last else STATE_SCHEMA)
 
 
-def query_blocks(items: DataFrame, width: int) -> list[Windows]:
-    """The test items as blocks of at most QUERY_WORDS words (a longer item stands alone)."""
-    blocks, ids, parts, total = [], [], [], 0
-    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text").toLocalIterator()
-    for row in rows:
-        raw = np.frombuffer((row["text"] or "").encode("utf-8", "surrogatepass"), np.uint8)
-        words, _ = word_hashes(raw, np.array([0, len(raw)]))
+def query_blocks(items: DataFrame, width: int) -> Iterator[Windows]:
+    """The test items as blocks of at most QUERY_WORDS words (a longer item stands alone), one at a time.
+
+    Tasks cut and hash the words; the driver holds the hashes of one block.
+    """
+
+    def run(batches):
+        for part in sliced(batches, "text", BLOCK_BYTES):
+            words, counts = word_hashes(*utf8(part.column(1)))
+            cut = np.cumsum(counts)[:-1]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in np.split(words, cut)], pa.binary())], ["id", "words"])
+
+    ids, parts, total, made = [], [], 0, 0
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), "text").mapInArrow(run, "id string, words binary")
+    for row in rows.toLocalIterator(prefetchPartitions=True):
+        words = np.frombuffer(row["words"], np.uint64)
         if ids and total + len(words) > QUERY_WORDS:
-            blocks.append(Windows(ids, np.concatenate(parts), np.array([len(p) for p in parts]), width))
-            ids, parts, total = [], [], 0
+            yield Windows(ids, np.concatenate(parts), np.array([len(p) for p in parts]), width)
+            ids, parts, total, made = [], [], 0, made + 1
         ids.append(row["id"])
         parts.append(words)
         total += len(words)
-    if ids or not blocks:
-        blocks.append(Windows(ids, np.concatenate([*parts, np.empty(0, np.uint64)]), np.array([len(p) for p in parts], int), width))
-    return blocks
+    if ids or not made:
+        yield Windows(ids, np.concatenate([*parts, np.empty(0, np.uint64)]), np.array([len(p) for p in parts], int), width)
 
 
 def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, least: int = 8, slop: int = 2) -> DataFrame:
     """doc_id, n_words, n_hit, items (matched exactly) and near_items (only by proximity) for every document."""
+    out = build_index(docs)
     blocks = query_blocks(items, width)
-    vocabulary = np.unique(np.concatenate([b.vocabulary for b in blocks]))
-    out = build_index(docs, vocabulary if len(vocabulary) <= VOCABULARY_BOUND else None)
-    for k, block in enumerate(blocks):
-        last = k == len(blocks) - 1
-        out = lookup(out, block, least, slop, last)
-        if not last:
-            out = stored(out, "postings")
-    return out
+    block = next(blocks)
+    while (after := next(blocks, None)) is not None:
+        before, out = out, stored(lookup(out, block, least, slop, False), "postings")
+        drop_stored(before)
+        block = after
+    return lookup(out, block, least, slop, True)
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
