@@ -15,7 +15,7 @@ prefix shared with the key before, the rest of the key, the number of ids and th
 Blocks are compressed by zstd.
 
 Cases: null counts as empty text, which is stored as the end id alone; rows that repeat a doc_id are all
-stored, ordered by text; null ids come first; an empty table gives no file and an empty result;
+stored, ordered by a hash of the text; null ids come first; an empty table gives no file and an empty result;
 very long texts make one large block; other columns are ignored.
 """
 
@@ -26,6 +26,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,8 @@ FOOTER = struct.Struct("<QQQQQQB7x8s")
 #: Distinct words whose ids a Python worker remembers.
 MEMO = 600_000
 BATCH_BYTES = 1 << 20
+#: Text of one shard, if no number of shards is given.
+SHARD_BYTES = 256 << 20
 
 
 def _class(kind: str) -> str:
@@ -157,7 +160,7 @@ class Writer:
     def __init__(self, out):
         self.out, self.at = out, 0
         self.index: list[tuple[bytes, int, int]] = []
-        self.hashes: list[int] = []
+        self.hashes = array("Q")
         self.docs = self.ids = 0
         self._clear()
 
@@ -197,7 +200,8 @@ class Writer:
         size = max(64, len(self.hashes) * BLOOM_BITS)
         bloom = np.zeros(size, bool)
         if self.hashes:
-            bloom[_bits(np.array(self.hashes, np.uint64), size)] = True
+            for lo in range(0, len(self.hashes), 1 << 16):
+                bloom[_bits(np.array(self.hashes[lo : lo + (1 << 16)], np.uint64), size)] = True
         bits = np.packbits(bloom).tobytes()
         self.out.write(index)
         self.out.write(bits)
@@ -279,11 +283,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
 
     A task writes under a name of its own, and only the names that successful tasks report count, so a
     lost executor or a second attempt leaves at most an unused file. One short row per shard
-    reaches the driver.
+    reaches the driver. Without a number of shards there are as many as shuffle partitions, or more if that is needed
+    to keep them at about SHARD_BYTES of text. Ranges are cut by (doc_id, hash of the text), so that rows of one
+    doc_id may fill several shards.
     """
-    n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    if shards is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    order = [F.asc_nulls_first("doc_id"), F.asc("h")]
+    ordered = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
 
     def run(batches):
         enc, writer, first, last, number = encoder(tokenizer), None, None, (), 0
@@ -294,7 +303,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
                 fs.create_dir(base, recursive=True)
                 name = f"{path}/part-{uuid.uuid4().hex}.sst"
                 sink = fs.open_output_stream(_open(name)[1], compression=None)
-                writer, first = Writer(sink), part.column(0)[0].as_py()
+                writer, first = Writer(sink), (part.column(0)[0].as_py(), part.column(2)[0].as_py())
             for doc, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist()), strict=True):
                 number = number + 1 if last == (doc,) else 0
                 last = (doc,)
@@ -302,10 +311,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
         if writer is not None:
             writer.close()
             sink.close()
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (name, writer.docs, writer.ids)] + [pa.array([first], pa.int64())], ["file", "docs", "ids", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (name, writer.docs, writer.ids)] + [pa.array([x], pa.int64()) for x in first], ["file", "docs", "ids", "first", "h"])
 
-    made = ordered.mapInArrow(run, "file string, docs long, ids long, first long").collect()
-    made.sort(key=lambda r: (r["first"] is not None, r["first"] or 0))
+    made = ordered.mapInArrow(run, "file string, docs long, ids long, first long, h long").collect()
+    made.sort(key=lambda r: (r["first"] is not None, r["first"] or 0, r["h"]))
     return [(r["file"], r["docs"], r["ids"]) for r in made]
 
 
