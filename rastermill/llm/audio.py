@@ -5,10 +5,12 @@ file. The file is written to a media column and read back; every feature comes f
 The samples are resampled by a polyphase windowed-sinc filter, cut into overlapping Hann frames and
 turned into log-mel energies. Segments come from frame energies with hysteresis: one opens above
 the upper threshold and lasts until the energy falls below the lower one. Tensors of SHAPE frames x mel
-bands cover the signal in order, each with its time span; the last is filled with the floor value.
+bands cover the signal in order, each with its time span; the last is filled with the floor value. They are written
+to Arrow files as a fixed-shape tensor column, and the features are computed from what these files hold.
 
 Cases: null counts as empty text, whose payload is 64 zero bytes; equal texts give equal values;
-very long texts are processed in pieces whose joins do not show in the result; an empty
+very long texts are processed in pieces whose joins do not show in the result; repeated rows and null doc_ids are
+rows of their own; ties do not matter; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -16,21 +18,24 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
+import uuid
 import wave
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import sliced, stored, utf8
+from .shared import resolved, scratch, sliced, stored, utf8
 
 RATE = 8000
-UP, DOWN = 1, 2
+UP, DOWN = 3, 4
 TAPS = 24
 FRAME, HOP = 256, 128
 MELS = 16
-SHAPE = (64, MELS)
+SHAPE = (16, MELS)
 OPEN_DB, CLOSE_DB = -18.0, -24.0
 FLOOR = np.float32(-100.0)
 PIECE = 1 << 16
@@ -83,19 +88,21 @@ PHASES, BANK, WINDOW = _phases(), _mel_bank(), np.hanning(FRAME).astype(np.float
 
 def resample(x: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """Outputs lo to hi of the resampled signal; output k is centred on sample k * DOWN / UP."""
-    k = np.arange(lo, hi)
-    if UP == 1:
-        first = lo * DOWN - TAPS // 2 + 1
-        last = (hi - 1) * DOWN + TAPS // 2 + 1
-        part = np.zeros(last - first, np.float32)
-        a, b = max(first, 0), min(last, len(x))
+    if hi <= lo:
+        return np.empty(0, np.float32)
+    first = lo * DOWN // UP - TAPS // 2 + 1
+    last = (hi - 1) * DOWN // UP + TAPS // 2 + 1
+    part = np.zeros(last - first, np.float32)
+    a, b = max(first, 0), min(last, len(x))
+    if a < b:
         part[a - first : b - first] = x[a:b]
-        view = np.lib.stride_tricks.sliding_window_view(part, TAPS)[::DOWN]
-        return view[: hi - lo] @ PHASES[0][::-1]
-    whole, phase = np.divmod(k * DOWN, UP)
-    at = whole[:, None] + np.arange(TAPS) - TAPS // 2 + 1
-    picked = np.where((at >= 0) & (at < len(x)), x[np.clip(at, 0, len(x) - 1)], 0)
-    return np.einsum("ij,ij->i", picked, PHASES[phase][:, ::-1])
+    view = np.lib.stride_tricks.sliding_window_view(part, TAPS)
+    out = np.empty(hi - lo, np.float32)
+    # Outputs UP apart use one phase of the filter, at samples DOWN apart.
+    for k in range(lo, min(hi, lo + UP)):
+        rows = view[k * DOWN // UP - TAPS // 2 + 1 - first :: DOWN][: len(range(k, hi, UP))]
+        out[k - lo :: UP] = rows @ PHASES[k * DOWN % UP][::-1]
+    return out
 
 
 def log_mel(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -162,53 +169,120 @@ def encode(docs: DataFrame) -> DataFrame:
     return stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, media binary"), "media")
 
 
-PIECES_SCHEMA = "doc_id long, piece int, start_s double, end_s double, tensor array<float>, shape array<int>"
+#: A row of a tensor file: one tensor with its time span; what is said of the document stands in the row of its first tensor.
+FILE_TYPE = pa.fixed_shape_tensor(pa.float32(), SHAPE)
+FILE_SCHEMA = pa.schema([("number", pa.int64()), ("doc_id", pa.int64()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("tensor", FILE_TYPE), ("note", pa.string())])
 
 
-def pieces(media: DataFrame) -> DataFrame:
-    """The tensors of a media column, a row for each, flattened with their shape and time span."""
+def described(wav: bytes) -> tuple[np.ndarray, list[tuple[float, float]], dict]:
+    """(tensors, their time spans, what is said of the document) of a stored file."""
+    samples = from_wav(wav)
+    mels, energy = log_mel(samples)
+    parts = tensors(mels)
+    times = [span(k * SHAPE[0], min(len(mels), (k + 1) * SHAPE[0])) for k in range(len(parts))]
+    runs = [span(x, y) for x, y in segments(energy)]
+    note = {
+        "payload_bytes": len(samples),
+        "payload_sha256": hashlib.sha256(samples).hexdigest(),
+        "tail_crc32": zlib.crc32(samples[-64:]),
+        "media_bytes": len(wav),
+        "media_sha256": hashlib.sha256(wav).hexdigest(),
+        "frames": len(mels),
+        "segments": len(runs),
+        "active_s": round(sum(b - a for a, b in runs), 3),
+    }
+    return parts, times, note
+
+
+def write_tensors(media: DataFrame) -> list[str]:
+    """Write the tensors of a media column as Arrow files below the shared folder; returns their names.
+
+    A task writes under a name of its own, and only names that successful tasks report count.
+    """
+    folder = scratch(media.sparkSession, "tensors")
 
     def run(batches):
+        writer, sink, name, number = None, None, None, 0
         for part in sliced(batches, "media", BATCH_BYTES):
-            for doc, wav in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                mels, _ = log_mel(from_wav(wav))
-                column = tensor_column(tensors(mels))
-                n = len(column)
-                ends = [min(len(mels), (k + 1) * SHAPE[0]) for k in range(n)]
-                times = [span(k * SHAPE[0], ends[k]) for k in range(n)]
-                flat = column.storage.cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([t[0] for t in times]), pa.array([t[1] for t in times]), flat, pa.array([list(SHAPE)] * n, pa.list_(pa.int32()))],
-                    ["doc_id", "piece", "start_s", "end_s", "tensor", "shape"],
-                )
-
-    return media.select("doc_id", "media").mapInArrow(run, PIECES_SCHEMA)
-
-
-def describe(wav: bytes) -> tuple[int, bytes, int, str]:
-    """(payload length, its digest, crc of its last 64 bytes, feature digest) of a stored file."""
-    samples = from_wav(wav)
-    mels, energy = log_mel(samples)
-    parts = tensor_column(tensors(mels))
-    runs = segments(energy)
-    mean = mels.mean(axis=0, dtype=np.float64)
-    digest = hashlib.sha256(np.ascontiguousarray(parts.to_numpy_ndarray()).tobytes()).hexdigest()[:16]
-    seconds = sum(b - a for a, b in (span(x, y) for x, y in runs))
-    feature = f"frames={len(mels)};tensors={len(parts)}x{SHAPE[0]}x{SHAPE[1]};segments={len(runs)};active_s={seconds:.3f};mel={','.join(f'{v:.2f}' for v in mean)};sha={digest}"
-    return len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), feature
+            if writer is None:
+                name = f"{folder}/part-{uuid.uuid4().hex}.arrow"
+                fs, at = resolved(name)
+                fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                sink = fs.open_output_stream(at, compression=None)
+                writer = pa.ipc.new_file(sink, FILE_SCHEMA, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            ids, n_bytes = part.column(0).to_pylist(), part.column(1).to_pylist()
+            rows, made = [], []
+            for k, wav in enumerate(part.column(2).to_pylist()):
+                parts, times, note = described(wav)
+                notes = [json.dumps(note | {"n_bytes": n_bytes[k]}), *[None] * (len(parts) - 1)]
+                rows += [(number + k, ids[k], a, b, text) for (a, b), text in zip(times, notes, strict=True)]
+                made.append(parts)
+            number += len(ids)
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [FILE_SCHEMA.field(i).type for i in (0, 1, 2, 3, 5)], strict=True)]
+            writer.write_batch(pa.RecordBatch.from_arrays([*columns[:4], tensor_column(np.concatenate(made)), columns[4]], schema=FILE_SCHEMA))
+        if writer is not None:
+            writer.close()
+            sink.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name])], ["file"])
+
+    return sorted(r["file"] for r in media.select("doc_id", "n_bytes", "media").mapInArrow(run, "file string").collect())
+
+
+def _files(spark, names: list[str]) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(names)), "k int, file string").repartition(max(1, len(names)), "k")
+
+
+def _stored_tensors(name: str) -> Iterator[pa.RecordBatch]:
+    fs, at = resolved(name)
+    with fs.open_input_file(at) as source:
+        reader = pa.ipc.open_file(source)
+        for k in range(reader.num_record_batches):
+            yield reader.get_batch(k)
+
+
+PIECES_SCHEMA = "doc_id long, start_s double, end_s double, tensor array<float>, shape array<int>"
+
+
+def pieces(spark, names: list[str]) -> DataFrame:
+    """The tensors of Arrow files, a row for each, flattened with their shape and time span."""
+
+    def run(batches):
+        for batch in batches:
+            for name in batch.column(1).to_pylist():
+                for part in _stored_tensors(name):
+                    flat = part.column(4).storage.cast(pa.list_(pa.float32()))
+                    yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), flat, pa.array([list(SHAPE)] * part.num_rows, pa.list_(pa.int32()))], ["doc_id", "start_s", "end_s", "tensor", "shape"])
+
+    return _files(spark, names).mapInArrow(run, PIECES_SCHEMA)
 
 
 DESCRIBED_SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_NOTED = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256"]
+
+
+def feature(note: dict, parts: np.ndarray) -> str:
+    """What the stored tensors and segments of a document come to."""
+    mean = parts.reshape(-1, MELS)[: note["frames"]].mean(axis=0, dtype=np.float64)
+    digest = hashlib.sha256(np.ascontiguousarray(parts).tobytes()).hexdigest()[:16]
+    return f"frames={note['frames']};tensors={len(parts)}x{SHAPE[0]}x{SHAPE[1]};segments={note['segments']};active_s={note['active_s']:.3f};mel={','.join(f'{v:.2f}' for v in mean)};sha={digest}"
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """The digest of every document's stored media and features."""
+    """The digest of every document's stored media and of its tensors, read back from their files."""
+    spark = docs.sparkSession
+    names = write_tensors(encode(docs))
+    if not names:
+        return spark.createDataFrame([], DESCRIBED_SCHEMA)
 
     def run(batches):
-        for part in sliced(batches, "media", BATCH_BYTES):
-            media = part.column(2).to_pylist()
-            rows = [(*d[:3], len(m), hashlib.sha256(m).hexdigest(), d[3]) for m, d in zip(media, map(describe, media), strict=True)]
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c) for c in cols)], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    return encode(docs).mapInArrow(run, DESCRIBED_SCHEMA)
+        for batch in batches:
+            for name in batch.column(1).to_pylist():
+                for part in _stored_tensors(name):  # a batch holds whole documents
+                    number, notes = np.asarray(part.column(0)), part.column(5).to_pylist()
+                    values = part.column(4).to_numpy_ndarray()
+                    head = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+                    said = [json.loads(notes[k]) for k in head]
+                    told = [feature(n, values[a:b]) for n, a, b in zip(said, head, np.append(head[1:], len(number)), strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(head)), *(pa.array([n[c] for n in said]) for c in _NOTED), pa.array(told)], ["doc_id", *_NOTED, "feature"])
+
+    return _files(spark, names).mapInArrow(run, DESCRIBED_SCHEMA)

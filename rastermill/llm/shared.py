@@ -33,13 +33,13 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; removed when the application ends."""
-    path = f"{shared_root(spark)}/rastermill/{name}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/rastermill/{name}-{uuid.uuid4().hex}")
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(target.getParent())
     fs.deleteOnExit(target)
-    return path
+    # With its scheme, so that Spark and pyarrow mean the same file system.
+    return fs.makeQualified(target).toString()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -53,6 +53,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def resolved(path: str):
+    """pyarrow's file system and path of a path that Spark's tasks see; one without scheme is local, s3a is s3."""
+    import pyarrow.fs as pafs
+
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    scheme, rest = path.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+
+
 def drop_stored(df: DataFrame) -> None:
     """Remove the files of a stored table whose readers have all finished."""
     spark = df.sparkSession

@@ -31,12 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch, sliced
+from .shared import resolved, scratch, sliced
 from .words import mix
 
 END_ID = 2
@@ -270,14 +269,6 @@ class Reader:
         return found
 
 
-def _open(path: str):
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return pafs.FileSystem.from_uri(path)
-
-
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shards: int | None = None) -> list[tuple[str, int, int]]:
     """Write the shards below path; returns (file, documents, ids) of each in id order.
 
@@ -299,10 +290,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, shar
         end = np.array([end_id], enc.type).tobytes()
         for part in sliced(batches, "text", BATCH_BYTES):
             if writer is None:
-                fs, base = _open(path)
+                fs, base = resolved(path)
                 fs.create_dir(base, recursive=True)
                 name = f"{path}/part-{uuid.uuid4().hex}.sst"
-                sink = fs.open_output_stream(_open(name)[1], compression=None)
+                sink = fs.open_output_stream(resolved(name)[1], compression=None)
                 writer, first = Writer(sink), (part.column(0)[0].as_py(), part.column(2)[0].as_py())
             for doc, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist()), strict=True):
                 number = number + 1 if last == (doc,) else 0
@@ -331,7 +322,7 @@ def read(spark, files: list[tuple[str, int, int]]) -> DataFrame:
     def run(batches):
         for batch in batches:
             for name, start in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                fs, base = _open(name)
+                fs, base = resolved(name)
                 with fs.open_input_file(base) as source:
                     rows = []
                     for doc, ids in Reader(source).scan():
