@@ -212,11 +212,14 @@ def revealing_terms(docs: DataFrame, scan: DataFrame, support: int = SUPPORT) ->
     both = stored(both.join(n_entity, "entity").join(n_seen, "term").where(strength("n_seen") >= GENERALISE), "pairs")
     if both.isEmpty():
         return none
-    held = stored(_words(docs).join(_sized(both.select("term").distinct()), "term"), "held")
-    n_term = held.groupBy("term").agg(F.count("*").alias("n_term"))
+    # Documents of every term, by a partial aggregate: what is joined has one row for each term.
+    n_term = _words(docs).groupBy("term").agg(F.count("*").alias("n_term"))
     scored = both.join(n_term, "term").withColumn("strength", strength("n_term"))
     strong = scored.groupBy("term").agg(F.max("strength").alias("strength")).where(F.col("strength") >= GENERALISE)
-    return stored(held.join(strong, "term").select("_row", "term", "strength"), "terms")
+    strong = stored(strong, "strong")
+    if strong.isEmpty():
+        return none
+    return stored(_words(docs).join(_sized(strong), "term").select("_row", "term", "strength"), "terms")
 
 
 TERM_SPAN = "array<struct<start:bigint,end:bigint,value:string,strength:double>>"
