@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import drop_stored, fresh, sliced, stored, utf8
+from .shared import drop_stored, fresh, released, sliced, stored, utf8
 from .words import mix, shingles, word_hashes
 
 SHINGLE = 5
@@ -197,7 +197,7 @@ def rare_grams(sets: DataFrame) -> DataFrame:
     """(gram, id) of the grams that at most RARE of the sets hold; stored."""
 
     def run(batches):
-        for batch in batches:
+        for batch in released(batches):
             column = batch.column(1)
             ids, ends, gram = np.asarray(batch.column(0)), np.asarray(column.offsets), np.asarray(column.values)
             step = max(1, len(ids) * GRAMS_AT_ONCE // max(1, ends[-1] - ends[0]))

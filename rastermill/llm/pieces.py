@@ -31,8 +31,10 @@ from pyspark.sql import DataFrame
 from .shared import sliced
 
 MARK = "▁"
-#: Distinct words and pairs of pieces that a Python worker remembers.
-MEMO = 800_000
+#: Distinct words that a Python worker remembers, the bytes of these words with their ids, and pairs of pieces.
+MEMO = 200_000
+MEMO_BYTES = 1 << 25
+PAIRS = 400_000
 BATCH_BYTES = 1 << 20
 
 
@@ -60,6 +62,9 @@ class Model:
         # Marks with what follows them; a line break is no piece, so it always stands alone.
         self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if "\n" not in single and not any("\n" in p for p in self.ids) else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.memo: dict[str, bytes] = {}
+        self.memo_bytes = 0
+        # One string for each piece, so that remembered pairs hold no copies.
+        self.same = {p: p for p in self.ids}
 
     def merged(self, text: str) -> list[str]:
         """Segmentation of a short text by merging: highest score first, then leftmost."""
@@ -78,7 +83,7 @@ class Model:
         """Whether the step from s to t has a finite score."""
         found = self.pairs.get((s, t))
         if found is None:
-            if len(self.pairs) >= MEMO:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             found = self.pairs[s, t] = self.merged(s + t) == ([s, t] if s else [t])
         return found
@@ -102,8 +107,8 @@ class Model:
                 last = word[end - 1]
                 if last in self.known:
                     for start in range(max(0, end - self.longest), end):
-                        t = word[start:end]
-                        if t in self.ids and (self.follows(table[start - 1], t) if start else self.alone(t)):
+                        t = self.same.get(word[start:end])
+                        if t is not None and (self.follows(table[start - 1], t) if start else self.alone(t)):
                             last = t
                             break
                 table.append(last)
@@ -112,7 +117,9 @@ class Model:
             while end:
                 path.append(table[end - 1])
                 end -= len(table[end - 1])
-            self.memo[word] = np.array([i for t in reversed(path) for i in self.id_of(t)], "<u4").tobytes()
+            ids = np.array([i for t in reversed(path) for i in self.id_of(t)], "<u4").tobytes()
+            self.memo[word] = ids
+            self.memo_bytes += len(word) + len(ids)
 
     def id_of(self, piece: str) -> tuple[int, ...]:
         if piece in self.ids:
@@ -130,8 +137,9 @@ class Model:
         distinct = set().union(*split) if split else set()
         self.solve(list(distinct - self.memo.keys()))
         out = [np.frombuffer(b"".join(map(self.memo.__getitem__, w)), "<u4") for w in split]
-        if len(self.memo) > MEMO:  # keep what the last batch used
+        if len(self.memo) > MEMO or self.memo_bytes > MEMO_BYTES:  # keep what the last batch used
             self.memo = {w: self.memo[w] for w in distinct}
+            self.memo_bytes = sum(len(w) + len(ids) for w, ids in self.memo.items())
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -151,16 +159,18 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
+def id_lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32)))
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """All columns of docs with `piece_ids` (a column of docs of that name is replaced), the ids of every row's whole text."""
     docs = docs.drop("piece_ids")
 
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
-            ids = model(path).encode(part.column(part.schema.get_field_index("text")).to_pylist())
-            column = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32()), pa.array(np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32))
-            )
+            column = id_lists(model(path).encode(part.column(part.schema.get_field_index("text")).to_pylist()))
             yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "piece_ids"])
 
     return docs.mapInArrow(run, docs.selectExpr("*", "CAST(NULL AS ARRAY<INT>) AS piece_ids").schema)
@@ -179,6 +189,21 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, encoded.selectExpr("*", "CAST(NULL AS STRING) AS decoded").schema)
 
 
+def encode_decode(docs: DataFrame, path: str) -> DataFrame:
+    """decode(encode(docs)) in one pass: a task has one Python worker instead of two, and ids do not travel twice."""
+    docs = docs.drop("piece_ids", "decoded")
+
+    def run(batches):
+        for part in sliced(batches, "text", BATCH_BYTES):
+            m = model(path)
+            ids = m.encode(part.column(part.schema.get_field_index("text")).to_pylist())
+            column = id_lists(ids)
+            texts = pa.array([m.decode(x) for x in ids], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, column, texts], [*part.schema.names, "piece_ids", "decoded"])
+
+    return docs.mapInArrow(run, docs.selectExpr("*", "CAST(NULL AS ARRAY<INT>) AS piece_ids", "CAST(NULL AS STRING) AS decoded").schema)
+
+
 SUMMARY_SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, n_decoded long, decoded_crc32 long, same boolean"
 
 

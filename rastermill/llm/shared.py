@@ -106,9 +106,15 @@ def spans(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one Arrow's unused memory goes back, since the worker stays for other stages."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about `limit` bytes of text at most."""
-    for batch in batches:
+    for batch in released(batches):
         if batch.num_rows:
             for lo, hi in spans(row_bytes(batch, column), limit):
                 yield batch.slice(lo, hi - lo)

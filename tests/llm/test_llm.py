@@ -334,6 +334,20 @@ def test_shared_table_equals_each_word_alone():
     assert together.memo == alone.memo
 
 
+def test_pieces_in_one_pass_and_bounded_memory(docs, monkeypatch):
+    df = docs(EDGES).withColumnRenamed("source", "decoded").withColumnRenamed("lang", "piece_ids")
+    two = pieces.decode(pieces.encode(df, PIECES), PIECES)
+    one = pieces.encode_decode(df, PIECES)
+    assert one.columns == two.columns and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    assert pieces.encode_decode(empty(df), PIECES).count() == 0
+    texts = ["x" * 3000, "short words only", "ab" * 700 + " short", "short words again"]
+    usual, small = pieces.Model(PIECES), pieces.Model(PIECES)
+    wanted = [usual.encode([t])[0].tolist() for t in texts]
+    monkeypatch.setattr(pieces, "MEMO_BYTES", 500)
+    assert [small.encode([t])[0].tolist() for t in texts] == wanted
+    assert len(small.memo) < len(usual.memo) and small.memo_bytes < 600
+
+
 def test_pieces_edges(docs):
     df = docs(EDGES)
     rows = pieces.round_trip(df, PIECES).collect()
