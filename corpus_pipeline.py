@@ -39,7 +39,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, piece_ids, n_pieces and whether decoding gives the text again."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    back = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    back = pieces.encode_decode(docs.select("doc_id", "lang", "source", "text"), path)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return back.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
 
