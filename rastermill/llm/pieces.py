@@ -32,7 +32,9 @@ from .shared import sliced
 
 MARK = "▁"
 #: Distinct words that a Python worker remembers, the bytes of these words with their ids, and pairs of pieces.
-MEMO = 200_000
+MEMO = 800_000
+#: Words remembered where the workers stay for other stages.
+SMALL_MEMO = 200_000
 MEMO_BYTES = 1 << 25
 PAIRS = 400_000
 BATCH_BYTES = 1 << 20
@@ -63,6 +65,7 @@ class Model:
         self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if "\n" not in single and not any("\n" in p for p in self.ids) else f"{MARK}*[^{MARK}]+|{MARK}+")
         self.memo: dict[str, bytes] = {}
         self.memo_bytes = 0
+        self.most = MEMO
         # One string for each piece, so that remembered pairs hold no copies.
         self.same = {p: p for p in self.ids}
 
@@ -137,7 +140,7 @@ class Model:
         distinct = set().union(*split) if split else set()
         self.solve(list(distinct - self.memo.keys()))
         out = [np.frombuffer(b"".join(map(self.memo.__getitem__, w)), "<u4") for w in split]
-        if len(self.memo) > MEMO or self.memo_bytes > MEMO_BYTES:  # keep what the last batch used
+        if len(self.memo) > self.most or self.memo_bytes > MEMO_BYTES:  # keep what the last batch used
             self.memo = {w: self.memo[w] for w in distinct}
             self.memo_bytes = sum(len(w) + len(ids) for w, ids in self.memo.items())
         return out
@@ -189,13 +192,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, encoded.selectExpr("*", "CAST(NULL AS STRING) AS decoded").schema)
 
 
-def encode_decode(docs: DataFrame, path: str) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, memo: int = SMALL_MEMO) -> DataFrame:
     """decode(encode(docs)) in one pass: a task has one Python worker instead of two, and ids do not travel twice."""
     docs = docs.drop("piece_ids", "decoded")
 
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
             m = model(path)
+            m.most = memo
             ids = m.encode(part.column(part.schema.get_field_index("text")).to_pylist())
             column = id_lists(ids)
             texts = pa.array([m.decode(x) for x in ids], pa.string())
@@ -214,6 +218,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         for part in sliced(batches, "text", BATCH_BYTES):
             m = model(path)
+            m.most = MEMO
             texts = part.column(1).to_pylist()
             rows = []
             for doc, text, ids in zip(part.column(0).to_pylist(), texts, m.encode(texts), strict=True):
