@@ -72,39 +72,90 @@ def hits(rows: DataFrame, rules: DataFrame) -> DataFrame:
 
     A rule is posted under its token that the fewest rows have; a row with this token is checked for the others.
     """
+    from .shared import stored
+
     entry = rows.withColumn("_t", F.explode("items"))
     names = rules.select(F.explode("tokens").alias("_t")).distinct()
     often = entry.select("_t").join(_small(names), "_t", "left_semi").groupBy("_t").count()
     posted = rules.select("tokens", F.explode("tokens").alias("_t")).join(often, "_t").groupBy("tokens").agg(F.min_by("_t", F.struct("count", "_t")).alias("_t"), F.count("*").alias("_known"))
     posted = posted.where(F.col("_known") == F.size("tokens")).drop("_known")  # else a token occurs nowhere
+    posted = stored(posted, "posted")
     return entry.join(_small(posted), "_t").where(F.size(F.array_except("tokens", "items")) == 0).drop("_t")
 
 
+def same_rows(labelled: DataFrame, least: float) -> DataFrame:
+    """(token, rep) of every token in at least `least` bad rows; rep is the first of the tokens that stand in the same rows.
+
+    Tokens stand in the same rows if they have as many rows and the same two sums of 64-bit hashes of these rows' items.
+    """
+    wide = [F.xxhash64("items", F.lit(k)).cast("decimal(20,0)").alias(f"_h{k}") for k in (0, 1)]
+    seen = labelled.select(F.explode("items").alias("token"), F.col("bad"), *wide)
+    seen = seen.groupBy("token").agg(F.count("*").alias("_n"), F.count_if("bad").alias("_bad"), F.sum("_h0").alias("_s0"), F.sum("_h1").alias("_s1"))
+    often = seen.where(F.col("_bad") >= least)
+    firsts = often.groupBy("_n", "_s0", "_s1").agg(F.sort_array(F.collect_list("token")).alias("_all"))  # tokens of one row at least
+    return firsts.select(F.explode("_all").alias("token"), F.col("_all")[0].alias("rep"))
+
+
+def spread(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rules with each token also replaced by every other token of the same rows."""
+    members = classes.groupBy("rep").agg(F.collect_list("token").alias("_all"))
+    parts = rules.select("*", F.explode("tokens").alias("rep")).join(members, "rep")
+    parts = parts.groupBy("tokens", "confidence", "support").agg(F.collect_list("_all").alias("_all"))
+    none = F.array(F.array().cast("array<string>"))
+    every = F.aggregate("_all", none, lambda sets, more: F.flatten(F.transform(sets, lambda s: F.transform(more, lambda t: F.array_append(s, t)))))
+    return parts.select(F.explode(every).alias("tokens"), "confidence", "support").withColumn("tokens", F.sort_array("tokens"))
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_count: int = MIN_COUNT, max_tokens: int | None = 3) -> DataFrame:
     """(tokens, confidence, support) of the kept rules; labelled has `items` and a boolean `bad`.
 
     A rule's support counts bad rows only, so its tokens are a frequent set of the bad rows: FP-growth
     runs over these, and confidence is counted over all rows. Rules have max_tokens tokens at most, or any number if it is None.
+
+    A set with a token that the others imply in all rows (`domain:a.org` implies `host:org`) is as confident as
+    without it, so it is never kept and need not be counted. Tokens that stand in the same rows are mined as one and put
+    in each other's place at the end; other implied pairs are found among the sets of two.
     """
     from .shared import stored
 
-    labelled = stored(labelled.where(F.size("items") > 0).select("items", "bad"), "transactions")
+    spark = labelled.sparkSession
+    labelled = labelled.where(F.size("items") > 0).select("items", "bad").withColumn("_row", F.monotonically_increasing_id())
+    labelled = stored(labelled, "transactions")  # this fixes the row numbers
     total, n_bad = labelled.agg(F.count("*"), F.count_if("bad")).first()
     least = max(min_support * total, min_count)
+    none = spark.createDataFrame([], "tokens array<string>, confidence double, support double")
     if n_bad < least:
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(labelled.where("bad").select("items"))
+        return none
+    classes = stored(same_rows(labelled, least), "classes")
+    reps = classes.select(F.col("rep").alias("_t")).distinct()
+    bad = labelled.where("bad").select("_row", F.explode("items").alias("_t")).join(_small(reps), "_t").groupBy("_row").agg(F.collect_list("_t").alias("items"))
+    bad = stored(bad.select("items"), "bad")
+    n_rows = bad.count()
+    if n_rows < least:
+        return none
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_rows).fit(bad)
     found = model.freqItemsets.where(F.col("freq") >= least)
     if max_tokens is not None:
         found = found.where(F.size("items") <= max_tokens)
     found = stored(found.select(F.sort_array("items").alias("tokens"), "freq"), "candidates")
-    counts = hits(labelled, found).groupBy("tokens").agg(F.count("*").alias("n"))
+    if found.isEmpty():
+        return none
+    few = F.size("tokens") <= 2
+    counts = stored(hits(labelled, found.where(few)).groupBy("tokens").agg(F.count("*").alias("n")), "counts")
+    single = counts.where(F.size("tokens") == 1).select(F.col("tokens")[0].alias("_t"), F.col("n").alias("_n"))
+    pairs = counts.where(F.size("tokens") == 2).select("tokens", "n", F.explode("tokens").alias("_t"))
+    implied = stored(pairs.join(single, "_t").where("n = _n").select("tokens").distinct(), "implied")
+    known = found.withColumn("items", F.col("tokens")).withColumnRenamed("tokens", "_set")
+    found = stored(found.join(hits(known, implied).select(F.col("_set").alias("tokens")).distinct(), "tokens", "left_anti"), "candidates")
+    counts = counts.unionByName(hits(labelled, found.where(~few)).groupBy("tokens").agg(F.count("*").alias("n")))
     rules = found.join(counts, "tokens").select("tokens", (F.col("freq") / F.col("n")).alias("confidence"), (F.col("freq") / F.lit(total)).alias("support"))
     rules = stored(rules.where(F.col("confidence") >= min_confidence), "rules")
-    # A rule is pruned if dropping some of its tokens leaves a rule that is as confident. Every subset of a frequent
-    # set is frequent, so the best confidence below a set comes from the sets with one token less.
+    if rules.isEmpty():
+        return rules
+    # A rule is pruned if dropping some of its tokens leaves a rule that is as confident. Every subset of a set
+    # in found is there too, so the best confidence below a set comes from the sets with one token less.
     known = found.join(rules, "tokens", "left").select("tokens", F.coalesce("confidence", F.lit(0.0)).alias("own"))
-    longest = found.agg(F.max(F.size("tokens"))).first()[0] or 0
+    longest = rules.agg(F.max(F.size("tokens"))).first()[0]
     kept = rules.where(F.size("tokens") == 1)
     best = known.where(F.size("tokens") == 1).select("tokens", F.col("own").alias("best"))
     for size in range(2, longest + 1):
@@ -113,7 +164,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         below = stored(below, "below")
         kept = kept.unionByName(rules.join(below.where("own > below").select("tokens"), "tokens", "left_semi"))
         best = below.select("tokens", F.greatest("own", "below").alias("best"))
-    return stored(kept, "rules")
+    return stored(spread(kept, classes), "rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -129,7 +180,7 @@ def judge(pages: DataFrame, labels: DataFrame, stated: tuple = STATED) -> DataFr
     split = pages.select("page_id", "url").withColumn("host", host).withColumn("path", path)
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     items = tokens(F.col("url"), F.col("host"), F.col("path"))
-    labelled = split.where("host <> ''").join(known, F.col("page_id") == F.col("doc_id")).select(items.alias("items"), (F.col("quality") == 0).alias("bad"))
+    labelled = split.where("host <> ''").join(known.hint("merge"), F.col("page_id") == F.col("doc_id")).select(items.alias("items"), (F.col("quality") == 0).alias("bad"))
     rules = mine(labelled, max_tokens=None)
     longest = sorted(stated, key=lambda r: -len(r[1] + r[2]))
     fits = [((F.col("host") == h) | F.endswith(F.col("host"), F.lit("." + h))) & F.startswith(F.col("path"), F.lit(p)) for _, h, p in longest]
@@ -140,5 +191,5 @@ def judge(pages: DataFrame, labels: DataFrame, stated: tuple = STATED) -> DataFr
         return out.select("page_id", "host", "path", "rule", F.coalesce("_said", F.lit("allow")).alias("verdict"))
     asked = out.where("_said IS NULL AND host <> ''").select("url", "host", "path").distinct().withColumn("items", items).select("url", "items")
     bad = matched(keep(asked, "urls"), rules).select(F.col("url").alias("_url"), F.lit("block").alias("_mined"))
-    out = out.join(bad, F.col("url") == F.col("_url"), "left")
+    out = out.join(bad.hint("merge"), F.col("url") == F.col("_url"), "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("_said", "_mined", F.lit("allow")).alias("verdict"))

@@ -212,6 +212,31 @@ def test_mined_rules_of_any_length(spark):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
 
 
+def test_mined_rules_with_tokens_that_imply_others(spark):
+    from itertools import combinations
+
+    rng = random.Random(8)
+    implies = {"a": "AX", "b": "B", "c": "C", "d": "BC", "x": "X"}  # a, A: the same rows; d's rows are among those of B and C
+
+    def closed(s):
+        return s | {t for k in s for t in implies.get(k, "")} | {"z"}
+
+    baskets = [closed({t for t in "abcdxXBe" if rng.random() < 0.4}) for _ in range(400)]
+    baskets = [(s, set("ad") <= s or set("bce") <= s or rng.random() < 0.05) for s in baskets]
+    df = spark.createDataFrame([(sorted(s), b) for s, b in baskets], "items array<string>, bad boolean")
+    got = {tuple(r["tokens"]): r["confidence"] for r in url_rules.mine(df, 0.01, 0.6, 3, max_tokens=None).collect()}
+    want, seen = {}, {}
+    for size in range(1, 7):
+        for c in combinations("ABCXabcdexz", size):
+            hit = [b for s, b in baskets if set(c) <= s]
+            if sum(hit) >= 4 and sum(hit) / len(hit) >= 0.6:
+                seen[c] = sum(hit) / len(hit)
+                if not any(set(w) < set(c) and seen[w] >= seen[c] for w in seen):
+                    want[c] = seen[c]
+    assert ("A", "d") in want and ("a", "d") in want
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
+
+
 def test_url_bad_by_four_words_together(spark):
     rng = random.Random(7)
     words_of = [[w for w in ("pa", "qa", "ra", "sa") if rng.random() < 0.5] for _ in range(400)]
