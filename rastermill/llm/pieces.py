@@ -57,7 +57,12 @@ class Model:
             raise ValueError("a piece of this model crosses words")
         self.unknown = sp.unk_id()
         self.scores = {p: sp.get_score(i) for p, i in self.ids.items()}
-        self.longest = max(map(len, self.ids))
+        # Sizes of the pieces by their last three characters, the longest first; those of two and one are always tried.
+        by_end: dict[str, set[int]] = {}
+        for p in self.ids:
+            if len(p) > 2:
+                by_end.setdefault(p[-3:], {2, 1}).add(len(p))
+        self.sizes = {end: tuple(sorted(found, reverse=True)) for end, found in by_end.items()}
         single = {p for p in self.ids if len(p) == 1}
         self.known = single
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -68,6 +73,7 @@ class Model:
         self.most = MEMO
         # One string for each piece, so that remembered pairs hold no copies.
         self.same = {p: p for p in self.ids}
+        self.coded = {p: self.id_bytes(p) for p in self.ids}
 
     def merged(self, text: str) -> list[str]:
         """Segmentation of a short text by merging: highest score first, then leftmost."""
@@ -83,7 +89,7 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def follows(self, s: str, t: str) -> bool:
-        """Whether the step from s to t has a finite score."""
+        """Whether the step from s to t has a finite score; s is empty where t stands first."""
         found = self.pairs.get((s, t))
         if found is None:
             if len(self.pairs) >= PAIRS:
@@ -91,39 +97,45 @@ class Model:
             found = self.pairs[s, t] = self.merged(s + t) == ([s, t] if s else [t])
         return found
 
-    def alone(self, t: str) -> bool:
-        """Whether t is the segmentation of its own text."""
-        return self.follows("", t)
-
     def solve(self, words: list[str]) -> None:
         """Remember the ids of new words, walked in sorted order with a shared forward table."""
-        table: list[str] = []  # table[i]: last piece of the first i + 1 characters
+        table = [""]  # table[i]: last piece of the first i characters
         before = ""
+        pairs, pieces, sizes, coded = self.pairs, self.same, self.sizes, self.coded
         for word in sorted(words):
             same = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
                     break
                 same += 1
-            del table[same:]
+            del table[same + 1 :]
             for end in range(same + 1, len(word) + 1):
                 last = word[end - 1]
                 if last in self.known:
-                    for start in range(max(0, end - self.longest), end):
-                        t = self.same.get(word[start:end])
-                        if t is not None and (self.follows(table[start - 1], t) if start else self.alone(t)):
-                            last = t
-                            break
+                    for size in sizes.get(word[max(0, end - 3) : end], (2, 1)):
+                        start = end - size
+                        if start >= 0:
+                            t = pieces.get(word[start:end])
+                            if t is not None:
+                                s = table[start]
+                                found = pairs.get((s, t))
+                                if self.follows(s, t) if found is None else found:
+                                    last = t
+                                    break
                 table.append(last)
             before = word
             path, end = [], len(word)
             while end:
-                path.append(table[end - 1])
-                end -= len(table[end - 1])
-            ids = np.array([i for t in reversed(path) for i in self.id_of(t)], "<u4").tobytes()
-            self.memo[word] = ids
+                t = table[end]
+                path.append(coded[t] if t in coded else self.id_bytes(t))
+                end -= len(t)
+            path.reverse()
+            ids = self.memo[word] = b"".join(path)
             self.memo_bytes += len(word) + len(ids)
 
+    def id_bytes(self, piece: str) -> bytes:
+        return np.array(self.id_of(piece), "<u4").tobytes()
+
     def id_of(self, piece: str) -> tuple[int, ...]:
         if piece in self.ids:
             return (self.ids[piece],)
@@ -136,12 +148,18 @@ class Model:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        split = [self.words(t or "") for t in texts]
-        distinct = set().union(*split) if split else set()
-        self.solve(list(distinct - self.memo.keys()))
-        out = [np.frombuffer(b"".join(map(self.memo.__getitem__, w)), "<u4") for w in split]
+        words, ends = [], [0]
+        for t in texts:
+            words += self.words(t or "")
+            ends.append(len(words))
+        found = list(map(self.memo.get, words))
+        holes = [k for k, ids in enumerate(found) if ids is None]
+        self.solve(list({words[k] for k in holes}))
+        for k in holes:
+            found[k] = self.memo[words[k]]
+        out = [np.frombuffer(b"".join(found[lo:hi]), "<u4") for lo, hi in zip(ends, ends[1:], strict=False)]
         if len(self.memo) > self.most or self.memo_bytes > MEMO_BYTES:  # keep what the last batch used
-            self.memo = {w: self.memo[w] for w in distinct}
+            self.memo = {w: self.memo[w] for w in set(words)}
             self.memo_bytes = sum(len(w) + len(ids) for w, ids in self.memo.items())
         return out
 
