@@ -108,18 +108,24 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of self.type."""
-        words = [self._words(t) for t in texts]
-        distinct = set().union(*words)
-        new = list(distinct - self.memo.keys())
+        words, ends = [], [0]
+        for t in texts:
+            words += self._words(t)
+            ends.append(len(words))
+        found = list(map(self.memo.get, words))
+        holes = [k for k, ids in enumerate(found) if ids is None]
+        new = list({words[k] for k in holes})
         simple = list(filter(self.SIMPLE.fullmatch, new)) if self.cuts and self.ends.any() else []
         for lo in range(0, len(simple), 2048):
             part = simple[lo : lo + 2048]
             self.memo.update(zip(part, self._letters(part), strict=True))
         rest = [w for w in new if w not in self.memo]
         self.memo.update(zip(rest, self._ids(rest), strict=True))
-        out = [b"".join(map(self.memo.__getitem__, w)) for w in words]
+        for k in holes:
+            found[k] = self.memo[words[k]]
+        out = [b"".join(found[lo:hi]) for lo, hi in zip(ends, ends[1:], strict=False)]
         if len(self.memo) > MEMO:  # keep what the last batch used
-            self.memo = {w: self.memo[w] for w in distinct}
+            self.memo = {w: self.memo[w] for w in set(words)}
         return out
 
 
