@@ -95,9 +95,16 @@ def valid_pixels(bands: DataFrame, nodata: float) -> DataFrame:
     return bands.groupBy("image_id", "x", "y").agg(F.bool_or(F.col("v") != nodata).alias("ok")).where("ok").drop("ok")
 
 
-def padded(pixels: DataFrame, width: Column, height: Column, size: tuple[int, int]) -> DataFrame:
-    """One patch (key, x, y, v) padded to size by repeating its edge: outside coordinates are clamped and joined."""
-    dims = pixels.groupBy("key").agg((F.max("x") + 1).alias("pw"), (F.max("y") + 1).alias("ph"))
+def padded(pixels: DataFrame, width: Column, height: Column, extent: tuple[int, int] | None = None) -> DataFrame:
+    """Patches (key, x, y, v) padded to width x height by repeating their edge: outside coordinates are clamped and joined.
+
+    The edge is that of extent (width, height), where the patches' size is known: a pixel that a patch lacks is then
+    nowhere in the result. Without extent it is the last pixel that a patch has.
+    """
+    if extent:
+        dims = pixels.select("key").distinct().withColumn("pw", F.lit(extent[0])).withColumn("ph", F.lit(extent[1]))
+    else:
+        dims = pixels.groupBy("key").agg((F.max("x") + 1).alias("pw"), (F.max("y") + 1).alias("ph"))
     spine = dims.select("key", "pw", "ph", F.explode(F.sequence(F.lit(0), F.greatest(width, F.col("pw")).cast("int") - 1)).alias("x"))
     spine = spine.select("key", "pw", "ph", "x", F.explode(F.sequence(F.lit(0), F.greatest(height, F.col("ph")).cast("int") - 1)).alias("y"))
     at = spine.select("key", "x", "y", F.least(F.col("x"), F.col("pw") - 1).alias("sx"), F.least(F.col("y"), F.col("ph") - 1).alias("sy"))

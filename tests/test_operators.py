@@ -218,3 +218,17 @@ def test_growth(spark, tmp_path):
     state = State(spark, str(tmp_path / "out/g/state"))
     assert {r["image_id"] for r in state.read("patches").select("image_id").distinct().collect()} == {"im0", "im1"}
     assert state.read("patches").count() == 8
+
+
+def test_pad_patch_of_a_cut_image_is_its_sql(spark, tmp_path):
+    import duckdb
+
+    from rastermill.queries import ORACLE_SQL, QUERIES
+
+    duckdb.sql("SELECT * FROM '/root/testdata/sf0.001/embeddings.parquet' WHERE vec_id < 150 OR vec_id = 260").write_parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    want = con.sql(f"SELECT key, x, y, v FROM ({ORACLE_SQL['pad_patch']})").fetchall()
+    got = [tuple(r) for r in QUERIES["pad_patch"](spark, str(tmp_path)).select("key", "x", "y", "v").collect()]
+    assert sorted(got) == sorted(want)
+    assert len(want) == 70 * 130 + 70 * 25 + 70  # the whole image, one of 25 rows, one of a single row inside
