@@ -232,3 +232,30 @@ def test_pad_patch_of_a_cut_image_is_its_sql(spark, tmp_path):
     got = [tuple(r) for r in QUERIES["pad_patch"](spark, str(tmp_path)).select("key", "x", "y", "v").collect()]
     assert sorted(got) == sorted(want)
     assert len(want) == 70 * 130 + 70 * 25 + 70  # the whole image, one of 25 rows, one of a single row inside
+
+
+def test_shards_are_small_and_tarfile_reads_the_same(spark, tmp_path):
+    import io
+    import tarfile
+
+    names = ["a" * 90 + ".x", "a" * 100, "b" * 150 + ".npy", "é.json", "d/e.x", "c.x"]
+    items = [bytes([k]) * (700 * k) for k in range(len(names))]
+    raw = b"".join(shards.tar_member(n, x) for n, x in zip(names, items, strict=True)) + bytes(1024)
+    with tarfile.open(fileobj=io.BytesIO(raw)) as tar:
+        assert [(i.name, tar.extractfile(i).read()) for i in tar] == list(zip(names, items, strict=True))
+    assert list(shards.tar_members(io.BytesIO(raw))) == list(zip(names, items, strict=True))
+    info = tarfile.TarInfo("c.x")
+    info.size = 5
+    assert shards.tar_member("c.x", b"12345")[:512] == info.tobuf()
+
+    def files(folder, end):
+        n = 3000
+        log = spark.range(n).select(F.lit("trn").alias("split"), F.lit(0).alias("shard_id"), F.lit(f"s.tar{end}").alias("file"), F.col("id").alias("patch_ord"), F.format_string("p%05d", "id").alias("patch_id"), F.create_map(F.lit("m.json"), F.encode(F.col("id").cast("string"), "UTF-8")).alias("members"))
+        (row,) = shards.write_shards(log, str(folder)).collect()
+        back = shards.read_shards(spark, [row["path"]]).collect()
+        assert [(r["patch_id"], r["members"]) for r in back] == [(f"p{k:05d}", {"m.json": bytearray(str(k).encode())}) for k in range(n)]
+        assert row["patch_count"] == n and row["size_bytes"] == (folder / "trn" / f"s.tar{end}").stat().st_size
+        return row["size_bytes"]
+
+    assert files(tmp_path / "plain", "") > 3000 * 1024
+    assert files(tmp_path / "packed", ".zst") < 3000 * 60
