@@ -200,7 +200,8 @@ def rare_grams(sets: DataFrame) -> DataFrame:
         for batch in released(batches):
             column = batch.column(1)
             ids, ends, gram = np.asarray(batch.column(0)), np.asarray(column.offsets), np.asarray(column.values)
-            step = max(1, len(ids) * GRAMS_AT_ONCE // max(1, ends[-1] - ends[0]))
+            # Offsets are 32 bits wide, which the product exceeds from 8,192 rows on.
+            step = max(1, len(ids) * GRAMS_AT_ONCE // max(1, int(ends[-1] - ends[0])))
             for lo in range(0, len(ids), step):
                 hi = min(len(ids), lo + step)
                 g, row = gram[ends[lo] : ends[hi]], np.repeat(np.arange(lo, hi), np.diff(ends[lo : hi + 1]))

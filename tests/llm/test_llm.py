@@ -558,6 +558,12 @@ def test_near_edges(docs):
     assert bagminhash.classes(empty(df)).count() == 0
 
 
+def test_rare_shingles_of_a_full_arrow_batch(spark):
+    sets = spark.range(9000, numPartitions=1).selectExpr("id", "array(id, 1000000 + id % 100, 2000000 + id div 8) grams")
+    got = {(r["gram"], r["id"]) for r in bagminhash.rare_grams(sets).collect()}
+    assert got == {(k, k) for k in range(9000)} | {(2000000 + k // 8, k) for k in range(9000)}
+
+
 def test_stored_keeps_rows(docs):
     df = docs(EDGES)
     assert sorted(map(str, stored(df, "t").collect())) == sorted(map(str, df.collect()))
