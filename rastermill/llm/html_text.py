@@ -1,6 +1,6 @@
-"""Main text of HTML pages: structure first, then a host suffix array for what structure leaves open.
+"""Main text of HTML pages: structure, and a host suffix array over the words of all blocks.
 
-A page is cut into blocks, each with a zone. `body` blocks stand in an article or main element: kept.
+A page is cut into blocks, each with a zone. `body` blocks stand in an article or main element: kept, but for notices.
 `chrome` blocks stand in navigation, headers, footers, sidebars, forms or elements whose class or id names
 such a thing (advert, notice, comments ...): removed. All other blocks are `open`.
 
@@ -9,12 +9,18 @@ built by prefix doubling to a depth of RUN tokens, puts equal runs next to each
 the host with distinct contents share (two of them, and SHARE of a large host's) is boilerplate, and since every longer
 repeat is a union of runs of RUN tokens, this depth finds all of them. A block of fewer tokens is one run. Covered tokens
 are removed from open blocks and unique runs are kept. Copies of a page under several URLs are one content, so they do not
-erase each other. Repeats inside an article are content (quotations, copies), so body blocks are not touched.
+erase each other.
+
+The words of the body blocks are a stream of their own. Repeats inside an article are content as a rule (quotations,
+copies), so a run is not enough here: a body block is a notice, and goes, if it has RUN words or more (a shorter one may be
+a heading) and stands as a whole in the articles of more than MOST of a host's distinct contents and of NOTICE of them at least. Where such blocks make up half of an article's
+words or more, the pages are near copies of each other and the article stays whole.
 
 Distribution: pages are parsed once and their blocks stored. Every task builds the suffix arrays of its own pages and
 emits one row for each distinct run and host (its hash, least and greatest content, number of contents). Rows of a run
-are then combined by a partial aggregate, so a hot host or run is no large group. Only pages with open blocks look their
-runs up again; without any, there is nothing to look up.
+are then combined by a partial aggregate, so a hot host or run is no large group. Of the articles, the suffixes that begin
+a block give a row for each block and content; each content of a host counts once, however many copies it has. Only pages
+with open blocks look their runs up again; articles are looked up again if any host has a notice.
 
 Cases: null html is empty; pages without text give the empty string; null page ids are kept; repeated rows are
 one content and cannot make each other boilerplate; a host with one content has no repeats; very long pages are
@@ -40,6 +46,9 @@ from .words import mix, word_hashes
 RUN = 6
 #: Least share of a host's distinct page contents that hold a run, beside two of them.
 SHARE = 0.01
+#: A notice inside articles stands in more than this share of a host's distinct page contents, and in so many of them.
+MOST = 0.5
+NOTICE = 5
 BATCH_BYTES = 1 << 21
 
 # Element names of HTML.
@@ -180,12 +189,12 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     return np.argsort(rank, kind="stable"), rank
 
 
-def _stream(pages: list[list[dict]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token hash, page, block) of the open and chrome blocks of some pages."""
+def _stream(pages: list[list[dict]], body: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token hash, page, block) of the open and chrome blocks of some pages, or of their body blocks."""
     texts, where = [], []
     for p, page in enumerate(pages):
         for b, block in enumerate(page):
-            if block["zone"] != "body":
+            if (block["zone"] == "body") == body:
                 texts.append(block["text"].encode("utf-8", "surrogatepass"))
                 where.append((p, b))
     raw = np.frombuffer(b"".join(texts), np.uint8)
@@ -220,6 +229,17 @@ def short_blocks(words: np.ndarray, page: np.ndarray, block: np.ndarray, host: n
     return first, h
 
 
+def whole_blocks(words: np.ndarray, page: np.ndarray, block: np.ndarray, host: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first token, hash) of every block with words; equal hashes share host and all tokens."""
+    if not len(words):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    first = np.flatnonzero(np.concatenate(([True], (page[1:] != page[:-1]) | (block[1:] != block[:-1]))))
+    size = np.diff(np.append(first, len(words)))
+    place = np.arange(len(words)) - np.repeat(first, size)
+    placed = mix(words + mix(place.astype(np.uint64)))
+    return first, mix(np.add.reduceat(placed, first) ^ mix(host[page[first]] + size.astype(np.uint64)))
+
+
 _BLOCKS = pa.list_(pa.struct([("zone", pa.string()), ("text", pa.string())]))
 PARSED_SCHEMA = "page_id long, url string, host long, content long, open boolean, blocks array<struct<zone:string,text:string>>"
 
@@ -295,24 +315,63 @@ def repeated_runs(made: DataFrame) -> DataFrame:
     return found.where("low <> high").join(sizes, "host").where(F.col("n") >= F.col("contents") * F.lit(SHARE)).select("run")
 
 
+def repeated_blocks(made: DataFrame) -> DataFrame:
+    """(run): hashes of the whole article blocks, of RUN words or more, that more than MOST of a host's distinct contents share."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for found, hosts, contents in _grouped(batches, (0, 1), 2):
+            host, content = np.array(hosts, np.int64).view(np.uint64), np.array(contents, np.int64)
+            words, page, block = _stream(found, body=True)
+            if not len(words):
+                continue
+            first, h = whole_blocks(words, page, block, host)
+            sa, _ = suffix_ranks(mix(words ^ mix(host[page])), RUN)
+            of = np.full(len(words), -1, np.int64)
+            of[first] = np.arange(len(first))
+            at = of[sa]
+            at = at[at >= 0]  # blocks by their first words, those that begin alike side by side
+            at = at[np.diff(np.append(first, len(words)))[at] >= RUN]
+            each = np.unique(np.stack([h[at].view(np.int64), content[page[first[at]]], host[page[first[at]]].view(np.int64)], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(each[:, k]) for k in range(3)], ["run", "content", "host"])
+
+    rows = made.select("host", "content", "blocks").mapInArrow(run, "run long, content long, host long")
+    sizes = made.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("contents"))
+    found = rows.distinct().groupBy("run", "host").agg(F.count("*").alias("n")).where(F.col("n") >= NOTICE)
+    return found.join(sizes, "host").where(F.col("n") > F.col("contents") * F.lit(MOST)).select("run")
+
+
 def _asked(made: DataFrame) -> DataFrame:
-    """The pages with open blocks and, in order, the hashes of their runs and then of their short blocks."""
+    """The pages and, in order, the hashes of their runs and then of their short blocks, and those of their article blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for found, ids, urls, hosts in _grouped(batches, (0, 1, 2), 3):
             host = np.array(hosts, np.int64).view(np.uint64)
-            looked = []
+            looked, bodies = [], []
             for k, page in enumerate(found):
+                bodies.append(whole_blocks(*_stream([page], body=True), host[k : k + 1])[1].view(np.int64).tolist())
                 words, of, block = _stream([page])
                 looked.append(np.concatenate((runs(words, of, host[k : k + 1])[1], short_blocks(words, of, block, host[k : k + 1])[1])).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(looked, pa.list_(pa.int64())), pa.array(found, _BLOCKS)], ["page_id", "url", "runs", "blocks"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(looked, pa.list_(pa.int64())), pa.array(bodies, pa.list_(pa.int64())), pa.array(found, _BLOCKS)], ["page_id", "url", "runs", "bodies", "blocks"])
 
-    return made.where("open").select("page_id", "url", "host", "blocks").mapInArrow(run, "page_id long, url string, runs array<long>, blocks array<struct<zone:string,text:string>>")
+    return made.select("page_id", "url", "host", "blocks").mapInArrow(run, "page_id long, url string, runs array<long>, bodies array<long>, blocks array<struct<zone:string,text:string>>")
 
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
+def without_notices(page: list[dict], notices: list[int]) -> list[dict]:
+    """The page without the notices among its body blocks with words (by number), unless they are half of the article."""
+    at, size = [], []
+    for k, b in enumerate(page if notices else ()):
+        if b["zone"] == "body" and (n := sum(1 for _ in WORD.finditer(_fold(b["text"])))):
+            at.append(k)
+            size.append(n)
+    if 2 * sum(size[k] for k in notices) >= sum(size):
+        return page
+    gone = {at[k] for k in notices}
+    return [b for k, b in enumerate(page) if k not in gone]
+
+
 def without_runs(page: list[dict], covered: list[int]) -> str:
     """The page's text with the words of its covered runs (by number) removed from open blocks."""
     total, place = 0, []
@@ -354,17 +413,26 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page."""
     made = parsed(pages)
     body = F.transform(F.filter("blocks", lambda b: b["zone"] == "body"), lambda b: b["text"])
-    decided = made.where("NOT open").select("page_id", "url", F.array_join(body, "\n").alias("text"))
-    if made.where("open").isEmpty():
-        return decided.withColumn("n_chars", F.length("text").cast("long"))
-    asked = _asked(made).withColumn("row", F.xxhash64("page_id", "url", "blocks"))
-    places = asked.select("row", F.posexplode("runs").alias("k", "run")).join(repeated_runs(made), "run").groupBy("row").agg(F.collect_set("k").alias("covered"))
-    joined = asked.join(places, "row", "left").select("page_id", "url", "blocks", "covered")
+    decided = lambda rows: rows.select("page_id", "url", F.array_join(body, "\n").alias("text"))
+    notices = stored(repeated_blocks(made), "notices")
+    # With notices every page is looked up, else those with open blocks.
+    if notices.isEmpty():
+        if made.where("open").isEmpty():
+            return decided(made).withColumn("n_chars", F.length("text").cast("long"))
+        sure, unsure = made.where("NOT open"), made.where("open")
+    else:
+        sure, unsure = made.where("false"), made
+    asked = _asked(unsure).withColumn("row", F.xxhash64("page_id", "url", "blocks"))
+
+    def places(column: str, runs: DataFrame, name: str) -> DataFrame:
+        return asked.select("row", F.posexplode(column).alias("k", "run")).join(runs, "run").groupBy("row").agg(F.collect_set("k").alias(name))
+
+    joined = asked.join(places("runs", repeated_runs(made), "covered"), "row", "left").join(places("bodies", notices, "gone"), "row", "left").select("page_id", "url", "blocks", "covered", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            texts = [without_runs(b, c or []) for b, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [without_runs(without_notices(b, g or []), c or []) for b, c, g in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    out = decided.unionByName(joined.mapInArrow(run, "page_id long, url string, text string"))
+    out = decided(sure).unionByName(joined.mapInArrow(run, "page_id long, url string, text string"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

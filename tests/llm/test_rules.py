@@ -81,6 +81,44 @@ def test_repeated_runs_as_by_counting(spark):
     assert got == sum(len(v) > 1 for v in holders.values())
 
 
+def test_notices_inside_articles_go(spark):
+    rng = random.Random(3)
+    say = lambda n=9: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    notice, quoted, copied = "this site is read by many so send it to your friends", say(), [say() for _ in range(4)]
+    rows, want = [], {}
+
+    def add(url, lead, *parts, gone=()):
+        k = len(rows)
+        rows.append((k, f"http://{url}/{k}", f"<main><h1>All news</h1>{''.join(f'<p>{x}</p>' for x in parts)}</main><div>{lead}</div>"))
+        want[k] = "\n".join(["All news", *(x for x in parts if x not in gone), *([lead] if lead else [])])
+
+    for k in range(12):
+        add("h.com", say() if k < 2 else "", say(), notice, quoted if k < 6 else say(), say(), gone=[notice])
+        add("copies.com", "", *copied, say())
+    for _ in range(4):
+        add("small.com", "", say(), notice, say())
+    rows.append(rows[0])
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    out = [(r["page_id"], r["text"]) for r in html_text.extract(frame).collect()]
+    assert dict(out) == want and len(out) == len(rows)
+
+
+def test_repeated_blocks_as_by_counting(spark):
+    rng = random.Random(5)
+    said = [" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 10))) for _ in range(8)]
+    rows = [(k, f"http://h{k % 3}.com/{k}", "".join(f"<p>{b}</p>" for b in rng.sample(said, 4))) for k in range(60)]
+    frame = spark.createDataFrame([(k, u, f"<article>{h}</article>") for k, u, h in rows], "page_id long, url string, html string")
+    got = html_text.repeated_blocks(html_text.parsed(frame.repartition(4))).count()
+    contents, holders = defaultdict(set), defaultdict(set)
+    for _, url, page in rows:
+        contents[url[:9]].add(page)
+        for b in re.findall("<p>(.*?)</p>", page):
+            if len(b.split()) >= html_text.RUN:
+                holders[url[:9], b].add(page)
+    held = [len(v) > html_text.MOST * len(contents[host]) and len(v) >= html_text.NOTICE for (host, _), v in holders.items()]
+    assert got == sum(held) and 0 < sum(held) < len(held)
+
+
 def test_markup_that_cuts_no_block():
     said = lambda x: [t for _, t in html_text.blocks(x)]
     assert said("<p>see <select><option>x</select>ok</p>") == ["see ok"]
