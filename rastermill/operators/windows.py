@@ -96,17 +96,18 @@ def valid_pixels(bands: DataFrame, nodata: float) -> DataFrame:
 
 
 def padded(pixels: DataFrame, width: Column, height: Column, extent: tuple[int, int] | None = None) -> DataFrame:
-    """Patches (key, x, y, v) padded to width x height by repeating their edge: outside coordinates are clamped and joined.
+    """Patches (key, x, y, v) padded to width x height by repeating their edge: each pixel of the edge goes to the places outside that clamp to it.
 
     The edge is that of extent (width, height), where the patches' size is known: a pixel that a patch lacks is then
-    nowhere in the result. Without extent it is the last pixel that a patch has.
+    nowhere in the result. Without extent it is the last pixel that a patch has. Exploded places are never joined: Spark
+    sizes them as the rows before the explode and would broadcast them all.
     """
     if extent:
-        dims = pixels.select("key").distinct().withColumn("pw", F.lit(extent[0])).withColumn("ph", F.lit(extent[1]))
+        at = pixels.select("key", "x", "y", "v", F.lit(extent[0]).alias("pw"), F.lit(extent[1]).alias("ph"))
     else:
         dims = pixels.groupBy("key").agg((F.max("x") + 1).alias("pw"), (F.max("y") + 1).alias("ph"))
-    spine = dims.select("key", "pw", "ph", F.explode(F.sequence(F.lit(0), F.greatest(width, F.col("pw")).cast("int") - 1)).alias("x"))
-    spine = spine.select("key", "pw", "ph", "x", F.explode(F.sequence(F.lit(0), F.greatest(height, F.col("ph")).cast("int") - 1)).alias("y"))
-    at = spine.select("key", "x", "y", F.least(F.col("x"), F.col("pw") - 1).alias("sx"), F.least(F.col("y"), F.col("ph") - 1).alias("sy"))
-    source = pixels.select("key", F.col("x").alias("sx"), F.col("y").alias("sy"), "v")
-    return at.join(source, ["key", "sx", "sy"]).select("key", "x", "y", "v")
+        at = pixels.join(dims, "key").select("key", "x", "y", "v", "pw", "ph")
+    at = at.where("key IS NOT NULL AND x >= 0 AND x < pw AND y >= 0 AND y < ph")
+    to = lambda c, end, size: F.explode(F.sequence(F.col(c).cast("int"), F.when(F.col(c) == F.col(end) - 1, F.greatest(size, F.col(end)) - 1).otherwise(F.col(c)).cast("int")))
+    xs = at.select("key", "y", "v", "pw", "ph", to("x", "pw", width).alias("x"))
+    return xs.select("key", "x", to("y", "ph", height).alias("y"), "v")

@@ -234,6 +234,36 @@ def test_pad_patch_of_a_cut_image_is_its_sql(spark, tmp_path):
     assert len(want) == 70 * 130 + 70 * 25 + 70  # the whole image, one of 25 rows, one of a single row inside
 
 
+def test_pad_patch_broadcasts_no_places_and_is_its_sql(spark, tmp_path):
+    import duckdb
+
+    from rastermill.queries import ORACLE_SQL, QUERIES
+
+    odd = "SELECT * REPLACE (CASE WHEN vec_id < 3 THEN NULL ELSE -vec_id END AS vec_id) FROM e WHERE vec_id < 130"  # no image, pixels outside
+    duckdb.sql("CREATE TABLE e AS FROM '/root/testdata/sf0.01/embeddings.parquet'")
+    duckdb.sql(f"FROM e UNION ALL FROM e WHERE vec_id % 125 > 120 UNION ALL {odd}").write_parquet(f"{tmp_path}/embeddings.parquet")  # and rows that come twice
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    want = con.sql(f"SELECT key, x, y, v FROM ({ORACLE_SQL['pad_patch']})").fetchall()
+    was = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "64k")
+    try:
+        got = [tuple(r) for r in QUERIES["pad_patch"](spark, str(tmp_path)).select("key", "x", "y", "v").collect()]
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", was)
+    assert sorted(got) == sorted(want)
+
+
+def test_padded_without_extent_goes_by_the_last_pixel(spark):
+    rng = np.random.default_rng(3)
+    patches = {k: rng.integers(0, 9, shape) for k, shape in enumerate([(1, 1), (3, 2), (2, 6), (7, 3), (4, 5)])}
+    rows = [(k, x, y, int(a[y, x])) for k, a in patches.items() for y in range(a.shape[0]) for x in range(a.shape[1])]
+    pixels = spark.createDataFrame(rows, "key long, x long, y long, v int")
+    got = {(r["key"], r["x"], r["y"]): r["v"] for r in windows.padded(pixels, F.lit(5), F.lit(4)).collect()}
+    padded = {k: np.pad(a, ((0, max(0, 4 - a.shape[0])), (0, max(0, 5 - a.shape[1]))), mode="edge") for k, a in patches.items()}
+    assert got == {(k, x, y): a[y, x] for k, a in padded.items() for y in range(a.shape[0]) for x in range(a.shape[1])}
+
+
 def test_shards_are_small_and_tarfile_reads_the_same(spark, tmp_path):
     import io
     import tarfile
